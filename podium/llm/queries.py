@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from podium.llm import nearest, runs, similar, splitting, tokenizing
+from podium.llm import nearest, runs, similar, splitting, tokenizing, turns
 
-QUERIES = {"p1_found": runs.p1_found, "p1_runs": runs.p1_runs, "p3_found": nearest.p3_found, "p5_found": similar.p5_found, "p7_found": splitting.p7_found, "p7_pieces": splitting.p7_pieces, "p8_ids": tokenizing.p8_ids}
+QUERIES = {"p1_found": runs.p1_found, "p1_runs": runs.p1_runs, "p3_found": nearest.p3_found, "p5_found": similar.p5_found, "p6_found": turns.p6_found, "p6_turns": turns.p6_turns, "p7_found": splitting.p7_found, "p7_pieces": splitting.p7_pieces, "p8_ids": tokenizing.p8_ids}
 
-SQL = {"p1_found": runs.P1_SQL, "p1_runs": runs.P1_RUNS_SQL, "p3_found": nearest.P3_SQL, "p7_found": splitting.P7_SQL}
+SQL = {"p1_found": runs.P1_SQL, "p1_runs": runs.P1_RUNS_SQL, "p3_found": nearest.P3_SQL, "p6_found": turns.P6_SQL, "p7_found": splitting.P7_SQL}
