@@ -100,7 +100,7 @@ def edits(a: str, b: str, most: int = 3) -> int:
 @lru_cache(maxsize=100_000)
 def sound(s: str) -> str:
     """A key under which sound-alike spellings agree."""
-    for a, b in (("cks", "x"), ("kw", "qu"), ("ck", "k"), ("ph", "f"), ("ieth", "ith"), ("ee", "i"), ("oo", "u"), ("ie", "y"), ("iy", "y"), ("ey", "y"), ("oh", "o"), ("ah", "a"), ("th", "t"), ("cz", "z"), ("v", "f"), ("w", "f"), ("q", "k"), ("c", "k"), ("z", "s")):
+    for a, b in (("cks", "x"), ("kw", "qu"), ("ck", "k"), ("ph", "f"), ("ieth", "ith"), ("ee", "i"), ("oo", "u"), ("uo", "u"), ("ou", "u"), ("ie", "y"), ("iy", "y"), ("ey", "y"), ("oh", "o"), ("ah", "a"), ("th", "t"), ("cz", "z"), ("v", "f"), ("w", "f"), ("q", "k"), ("c", "k"), ("z", "s")):
         s = s.replace(a, b)
     s = s.replace("i", "y")
     return re.sub(r"(.)\1+", r"\1", s)
