@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from podium.plans import periods
+from podium.plans import periods, sequences
 
+_MODULES = [sequences]
 QUERIES = {"p2_found": periods.p2_found}
 SQL = {"p2_found": periods.P2_SQL}
-FLAGSHIP = periods.p2_found
+for _m in _MODULES:
+    QUERIES.update(_m.QUERIES)
+    SQL.update(_m.SQL)
+FLAGSHIP = sequences.speaker_stats
