@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from podium.plans import periods, sequences
+from podium.plans import captions, people, periods, sequences
 
-_MODULES = [sequences]
+_MODULES = [sequences, people, captions]
 QUERIES = {"p2_found": periods.p2_found}
 SQL = {"p2_found": periods.P2_SQL}
 for _m in _MODULES:
