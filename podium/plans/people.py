@@ -115,9 +115,10 @@ def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("needs_review", F.coalesce(F.col("confidence") < REVIEW, F.lit(True)))
 
 
-CASCADE_SQL = f"""WITH {B.SEG}, {B.MAPS}, {_BEST}, layers AS (SELECT meeting_id, label, speaker_name AS name, confidence, id_method AS method, 0 AS layer FROM map WHERE speaker_name <> '' AND confidence IS NOT NULL UNION ALL SELECT *, 1 FROM best),
-t AS (SELECT *, row_number() OVER (PARTITION BY meeting_id, label ORDER BY confidence DESC, layer) AS rn FROM layers)
-SELECT l.meeting_id, l.label, name, confidence, method, coalesce(confidence < {REVIEW}, true) AS needs_review FROM (SELECT DISTINCT meeting_id, label FROM seg) l LEFT JOIN t ON t.meeting_id = l.meeting_id AND t.label = l.label AND rn = 1"""
+_CASCADE = f""" {B.SEG}, {B.MAPS}, {_BEST}, layers AS (SELECT meeting_id, label, speaker_name AS name, confidence, id_method AS method, 0 AS layer FROM map WHERE speaker_name <> '' AND confidence IS NOT NULL UNION ALL SELECT *, 1 FROM best),
+t AS (SELECT *, row_number() OVER (PARTITION BY meeting_id, label ORDER BY confidence DESC, layer) AS rn FROM layers),
+casc AS (SELECT l.meeting_id, l.label, name, confidence, method, coalesce(confidence < {REVIEW}, true) AS needs_review FROM (SELECT DISTINCT meeting_id, label FROM seg) l LEFT JOIN t ON t.meeting_id = l.meeting_id AND t.label = l.label AND rn = 1)"""
+CASCADE_SQL = f"WITH {_CASCADE} SELECT * FROM casc"
 
 
 # -- Mappings onto segments --------------------------------------------------------------------------

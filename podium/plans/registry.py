@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from podium.plans import captions, people, periods, render, sequences
+from podium.plans import captions, inputs, people, periods, render, sequences
 
-_MODULES = [sequences, people, captions, render]
+_MODULES = [sequences, people, captions, render, inputs]
 QUERIES = {"p2_found": periods.p2_found}
 SQL = {"p2_found": periods.P2_SQL}
 for _m in _MODULES:
