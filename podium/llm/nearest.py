@@ -128,7 +128,7 @@ def nearest(left: DataFrame, right: DataFrame, tolerance: int, shard: int = 3_60
     have = "g is not null and id is not null and point is not null"
     a = left.select("g", F.col("id").cast("int").alias("id"), "point").where(have).withColumns({"side": F.lit(0), "shard": F.floor(F.col("point") / shard)})
     b = right.select("g", F.col("id").cast("int").alias("id"), "point").where(have)
-    reach = F.array_distinct(F.array(*[F.floor((F.col("point") + d) / shard) for d in (-tolerance, tolerance)]))
+    reach = F.sequence(*[F.floor((F.col("point") + d) / shard) for d in (-tolerance, tolerance)])
     b = b.withColumns({"side": F.lit(1), "shard": F.explode(reach)})
     return map_groups(a.unionByName(b), ["g", "shard"], ["point"], _match(tolerance), _SCHEMA)
 

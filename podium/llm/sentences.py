@@ -230,8 +230,8 @@ def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
             return street and follows in OPENERS
         if word in NEVER_LAST or word.endswith("str") and len(word) > 4 and c.islower():
             return False
-        if len(word) == 1:  # an initial; Arabic and Devanagari abbreviations too
-            return False
+        if len(word) == 1:  # an initial, also in scripts without case; or the first of several
+            return before.islower() and not (len(follows) == 1 and block[nxt + 1 : nxt + 2] == ".")
         if re.fullmatch(r"(?:\w\.)+\w", word):
             return follows in OPENERS
         if "ऀ" <= word[0] <= "ॿ":
@@ -252,10 +252,10 @@ def _block_ends(block: str, lead: int) -> list[int]:
         if at < lead:
             continue
         if m.re is _THAI_GAP or m.re is _CJK_GAP:
-            if any(a < at < b for a, b in outer[max(0, k - 1) :][:2]):
+            if any(a < at < b for a, b in outer[max(0, k - 1) : k + 1]):
                 continue
             last = block[at - 1]
-            if m.re is _THAI_GAP and _thai_end(block, m) or m.re is _CJK_GAP and block[:at].endswith(CJK_FINAL) and not last.isspace():
+            if m.re is _THAI_GAP and _thai_end(block, m) or m.re is _CJK_GAP and block.endswith(CJK_FINAL, 0, at) and not last.isspace():
                 ends.append(at)
                 start = m.end()
             continue
