@@ -8,10 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark():
-    from podium.session import local_session
+    from podium.session import local_session, ship
 
     session = local_session("4", "tests", "4g")
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    ship(session)
     yield session
     session.stop()
