@@ -40,3 +40,38 @@ def similar_pairs(df: DataFrame, group: str, key: str, vector: str, least: float
         return pa.table({"g": pa.array([t.column("g")[0].as_py()] * len(a), pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return cells.groupBy("g", "row", "col").applyInArrow(compare, "g string, a bigint, b bigint")
+
+
+def query_scores(queries: DataFrame, base: DataFrame, least: float, best_only: bool = False, block: int = BLOCK, width: int = 16 * BLOCK) -> DataFrame:
+    """(label, ord, score): the cosines of a stated query set (label, v) against all rows (ord, v), in blocks.
+
+    Only scores of at least `least` leave a cell; with best_only only each query's best of the cell,
+    the least ord of equals. Vectors of one length; zero vectors must have been left out.
+    """
+    spark = queries.sparkSession
+    nq, nb = queries.count(), base.count()
+    if not nq or not nb:
+        return spark.createDataFrame([], "label string, ord bigint, score double")
+    rows, cols = -(-nq // block), -(-nb // width)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("label", F.lit(None).cast("bigint").alias("ord"), "v", F.pmod(F.xxhash64("label"), F.lit(rows)).cast("int").alias("row")).withColumn("col", every(cols))
+    b = base.select(F.lit(None).cast("string").alias("label"), F.col("ord").cast("bigint").alias("ord"), "v", F.pmod(F.xxhash64("ord"), F.lit(cols)).cast("int").alias("col")).withColumn("row", every(rows))
+    schema = pa.schema([("label", pa.string()), ("ord", pa.int64()), ("score", pa.float64())])
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.sort_by("ord")
+        x = np.asarray(t.column("v").combine_chunks().flatten()).reshape(t.num_rows, -1)
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        labels = t.column("label").to_pylist()
+        left = np.array([i for i, k in enumerate(labels) if k is not None], int)
+        right = np.array([i for i, k in enumerate(labels) if k is None], int)
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        s = x[left] @ x[right].T
+        i, j = (np.arange(len(left)), s.argmax(1)) if best_only else np.nonzero(s >= least)
+        good = s[i, j] >= least
+        i, j = i[good], j[good]
+        ords = t.column("ord").to_pylist()
+        return pa.table({"label": pa.array([labels[left[k]] for k in i], pa.string()), "ord": pa.array([ords[right[k]] for k in j], pa.int64()), "score": pa.array(s[i, j], pa.float64())})
+
+    return q.unionByName(b).groupBy("row", "col").applyInArrow(compare, "label string, ord bigint, score double")

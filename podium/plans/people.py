@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from podium.functions.vectors import cosine, mean_by
+from podium.functions.vectors import mean_by
 from podium.operators.components import components
 from podium.operators.ordered import dense_index, with_next
-from podium.operators.pairs import similar_pairs
+from podium.operators.pairs import query_scores, similar_pairs
 from podium.plans import base as B
 from podium.plans.sequences import REACH, RESPONSE
 from podium.sources.tables import table
@@ -337,18 +337,16 @@ def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.where(F.exists("v", lambda x: x != 0)).select(F.concat(F.lit("SPEAKER_"), "ord").alias("label"), F.col("v").alias("voice"))
 
 
-def _against_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The query set against all centroids, in blocks of queries: (label, ord, slug, display_name, n_meetings, score)."""
-    q, c = _queries(spark, sf_dir), _centroids(spark, sf_dir)
-    blocks = 8
-    q = q.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(blocks)))
-    c = c.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    return q.join(c, "block").select("label", "ord", "slug", "display_name", "n_meetings", cosine(F.col("voice"), F.col("centroid")).alias("score"))
+def _against_all(spark: SparkSession, sf_dir: str, least: float, best_only: bool) -> DataFrame:
+    """The query set against all centroids, in blocks: (label, ord, slug, display_name, n_meetings, score)."""
+    c = _centroids(spark, sf_dir)
+    scores = query_scores(_queries(spark, sf_dir).select("label", F.col("voice").alias("v")), c.select("ord", F.col("centroid").alias("v")), least, best_only)
+    return scores.join(c.drop("centroid"), "ord")
 
 
 def voice_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best positive match of each voice, if it passes the threshold that its meetings allow."""
-    s = _against_all(spark, sf_dir).where("score > 0")
+    s = _against_all(spark, sf_dir, 0.0, best_only=True).where("score > 0")
     best = s.groupBy("label").agg(F.max_by(F.struct("slug", "n_meetings", "score"), F.struct("score", -F.col("ord"))).alias("b")).select("label", "b.*")
     n = F.col("n_meetings")
     limit = F.when(n >= 3, RETURNING_3).when(n >= 2, RETURNING_2).otherwise(VOICE)
@@ -367,7 +365,7 @@ FROM b WHERE rn = 1 AND score >= CASE WHEN n >= 3 THEN {RETURNING_3} WHEN n >= 2
 
 def soft_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All matches of each voice above a low bar, by rounded score, then in profile order."""
-    s = _against_all(spark, sf_dir).where(F.col("score") >= SOFT).withColumn("r", F.round("score", 3))
+    s = _against_all(spark, sf_dir, SOFT, best_only=False).withColumn("r", F.round("score", 3))
     rows = F.array_sort(F.collect_list(F.struct((-F.col("r")).alias("k"), "ord", F.coalesce("display_name", "slug").alias("name"))))
     return s.groupBy("label").agg(F.transform(rows, lambda x: F.concat(x["name"], F.lit("="), F.format_number(-x["k"], 3))).alias("hints"))
 

@@ -124,7 +124,7 @@ def test_pairs_in_blocks(spark):
 def test_names(spark):
     import pandas as pd
 
-    assert ratio(pd.Series(["piedmont", "tide", "diet"]), pd.Series(["peidmont", "diet", "tide"])).tolist() == [0.875, 0.25, 0.5]
+    assert ratio(pd.Series(["hartmont", "tide", "diet"]), pd.Series(["hratmont", "diet", "tide"])).tolist() == [0.875, 0.25, 0.5]
     df = spark.createDataFrame([("Council Member Jane Adams",), ("Mayor",), ("Jane",), (" Clerk  O'Neil ",)], "n string")
     rows = df.select(surname(F.col("n")).alias("s"), slug_of(F.col("n")).alias("g")).collect()
     assert [r.s for r in rows] == ["Adams", "Mayor", "Jane", "O'Neil"]
@@ -132,10 +132,10 @@ def test_names(spark):
 
 
 def test_roster_tiers(spark):
-    members = spark.createDataFrame([(1, 0, "President Asare", 0, "Asare"), (1, 0, "President Asare", 1, "Isak Asare"), (1, 1, "Clerk Piedmont", 0, "Piedmont"), (1, 2, "Mayor None", None, None)], "roster_id int, member_ord int, name string, alias_ord int, alias string")
-    names = spark.createDataFrame([(1, n) for n in ("president asare", "ASARE", "Ms Asare", "Mr Peidmont", "mayor none", " Zed ")], "roster_id int, name string")
+    members = spark.createDataFrame([(1, 0, "President Okoro", 0, "Okoro"), (1, 0, "President Okoro", 1, "Ines Okoro"), (1, 1, "Clerk Hartmont", 0, "Hartmont"), (1, 2, "Mayor None", None, None)], "roster_id int, member_ord int, name string, alias_ord int, alias string")
+    names = spark.createDataFrame([(1, n) for n in ("president okoro", "OKORO", "Ms Okoro", "Mr Hratmont", "mayor none", " Zed ")], "roster_id int, name string")
     got = {r.name: (r.corrected, r.tier) for r in lookup(names, members).collect()}
-    assert got == {"president asare": ("President Asare", 1), "ASARE": ("President Asare", 2), "Ms Asare": ("President Asare", 3), "Mr Peidmont": ("Clerk Piedmont", 4), "mayor none": ("Mayor None", 1), " Zed ": ("Zed", 0)}
+    assert got == {"president okoro": ("President Okoro", 1), "OKORO": ("President Okoro", 2), "Ms Okoro": ("President Okoro", 3), "Mr Hratmont": ("Clerk Hartmont", 4), "mayor none": ("Mayor None", 1), " Zed ": ("Zed", 0)}
 
 
 def test_answers_as_markdown(spark):
@@ -143,3 +143,35 @@ def test_answers_as_markdown(spark):
     assert [r.m for r in df.select(roll_call_markdown(F.col("a")).alias("m")).collect()][:3] == ["**Present:** A, B\n**Absent:** None", "_Roll call data could not be extracted._", "_Roll call data could not be parsed._"]
     v = spark.createDataFrame([('{"votes": [{"result": "passed", "yea": ["A"], "nay": []}]}',), ("{}",)], "a string").select(votes_markdown(F.col("a")).alias("m")).collect()
     assert v[0].m == "**Motion** — PASSED\nYea: A\n" and v[1].m == ""
+
+
+def test_models_answer_in_batches_and_in_order(spark):
+    from podium.operators.model import ask, ask_in_order
+    from podium.plans.render import name_answers
+
+    prompts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k bigint, p string")
+    answers = ask(prompts, "k", "p", lambda ps: [f'ok {{"name": "{p.upper()}"}}' if p != "b" else '{"name": "null"}' for p in ps])
+    assert sorted((r.key, r.name) for r in name_answers(answers).collect()) == [(1, "A"), (3, "C")]
+
+    def broken(ps):
+        raise ValueError
+
+    assert all(r.answer is None for r in ask(prompts, "k", "p", broken).collect())
+    rows = spark.createDataFrame([("m", i, f"q{i}") for i in (2, 0, 1)], "m string, o bigint, p string")
+    got = ask_in_order(rows, "m", "o", "p", lambda p, known: f"{p}:{len(known)}").orderBy("ord").collect()
+    assert [r.answer for r in got] == ["q0:0", "q1:1", "q2:2"]
+
+
+def test_a_query_set_in_blocks_scores_as_a_whole(spark):
+    from podium.operators.pairs import query_scores
+
+    r = random.Random(5)
+    vec = lambda: [r.gauss(0, 1) for _ in range(4)]
+    q = spark.createDataFrame([(f"q{i}", vec()) for i in range(9)], "label string, v array<double>")
+    b = spark.createDataFrame([(i, vec()) for i in range(50)], "ord bigint, v array<double>")
+    whole = {(x.label, x.ord) for x in query_scores(q, b, 0.5).collect()}
+    assert whole == {(x.label, x.ord) for x in query_scores(q, b, 0.5, block=4, width=7).collect()} and whole
+    best = query_scores(q, b, 0.0, best_only=True, block=4, width=7).groupBy("label").agg(F.max("score").alias("s"))
+    top = query_scores(q, b, 0.0).groupBy("label").agg(F.max("score").alias("s"))
+    assert {x.label: round(x.s, 9) for x in best.collect()} == {x.label: round(x.s, 9) for x in top.collect()}
+    assert query_scores(q.limit(0), b, 0.5).count() == 0
