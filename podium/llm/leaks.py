@@ -40,10 +40,20 @@ ENERGY, COSINE = 0.3, 0.2
 _WORD = re.compile(r"[^\W_]+")
 
 
+class _Accents(dict):
+    """A table for str.translate that drops combining marks, filled as letters come."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = None if unicodedata.combining(chr(code)) else code
+        return self[code]
+
+
+_ACCENTS = _Accents()
+
+
 def words(text: str) -> list[str]:
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-        return _WORD.findall(text.casefold())
+        return _WORD.findall(unicodedata.normalize("NFKD", text).translate(_ACCENTS).casefold())
     return _WORD.findall(text.lower())
 
 
@@ -161,8 +171,12 @@ class _Model:
         order[rare] = np.arange(len(rare))
         self.answers = [frozenset(sorted(s, key=lambda w: (order[vocabulary[w]], w))[:6]) for s in self.sets]
 
-    def candidates(self, found: list[list[str]]) -> Iterator[tuple[int, int, int]]:
-        """(document, start, item) of passages near an item in the latent space."""
+    def candidates(self, found: list[list[str]], least_run: int) -> Iterator[tuple[int, int, int]]:
+        """(document, start, item) of passages near an item in the latent space.
+
+        Left out are those of which it is sure that their common subsequence with the item is
+        shorter than RUN, or their common run shorter than least_run.
+        """
         ids = np.array([self.vocabulary.get(w, -1) for ws in found for w in ws], np.int64)
         if not len(ids):
             return
@@ -194,12 +208,16 @@ class _Model:
                 continue
             cosine = np.maximum.reduceat((y[near] / np.sqrt(size[some[near]])[:, None]) @ self.z.T, self.first, axis=1)
             # Words of the passage that the item holds: no common subsequence is longer.
-            held = np.zeros((len(near), len(self.ids)), np.int16)
+            held = np.zeros((len(near), len(self.ids)), np.uint8)
+            row, longest = held.copy(), held.copy()
             for k in range(self.width):
                 p = start[some[near]] + k
                 i = np.where(p < end[some[near]], ids[np.minimum(p, len(ids) - 1)], -1)
-                held[i >= 0] += self.holds[i[i >= 0]]
-            for n, item in zip(*np.nonzero((cosine >= COSINE) & (held >= RUN)), strict=True):
+                has = np.where((i >= 0)[:, None], self.holds[i], 0)
+                held += has
+                row = (row + 1) * has
+                np.maximum(longest, row, out=longest)
+            for n, item in zip(*np.nonzero((cosine >= COSINE) & (held >= RUN) & (longest >= least_run)), strict=True):
                 at = some[near[n]]
                 d = int(doc[at])
                 yield d, int(start[at] - base[d]), int(item)
@@ -208,14 +226,14 @@ class _Model:
 _LEAKS = "doc_id bigint, item_id bigint, run int, shared double, answer double"
 
 
-def _retrieve(model: _Model):
+def _retrieve(model: _Model, least_run: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 keys, found = part.column(0).to_pylist(), [words(t) if t else [] for t in part.column(1).to_pylist()]
                 best: dict[tuple[int, int], list[float]] = {}
-                for d, at, item in model.candidates(found):
+                for d, at, item in model.candidates(found, least_run):
                     passage = found[d][at : at + model.width]
                     lcs = common_subsequence(passage, model.words[item])
                     if lcs < RUN:
@@ -232,8 +250,11 @@ def _retrieve(model: _Model):
     return run
 
 
-def leaks(documents: DataFrame, items: DataFrame, rank: int = RANK, width: int = 2 * RUN, block: int = BLOCK) -> DataFrame:
-    """(doc_id, item_id, run, shared, answer): what is near in the latent space and shares words in order."""
+def leaks(documents: DataFrame, items: DataFrame, rank: int = RANK, width: int = 2 * RUN, block: int = BLOCK, least_run: int = 0) -> DataFrame:
+    """(doc_id, item_id, run, shared, answer): what is near in the latent space and shares words in order.
+
+    With least_run only pairs that may share so many successive words are verified.
+    """
     spark = documents.sparkSession
     once = items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
     texts = documents.select("text")
@@ -254,7 +275,7 @@ def leaks(documents: DataFrame, items: DataFrame, rank: int = RANK, width: int =
         passages = spark.createDataFrame(held, "item_id bigint, text string").select("text")
         q = latent_space(passages, vocabulary, weight, rank, width)
         model = _Model(held, vocabulary, weight, float(np.sqrt(np.log(n + 2) / 2)), q, width)
-        parts.append(documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_retrieve(model), _LEAKS))
+        parts.append(documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_retrieve(model, least_run), _LEAKS))
     if not parts:
         return spark.createDataFrame([], _LEAKS)
     found = parts[0]
@@ -264,7 +285,7 @@ def leaks(documents: DataFrame, items: DataFrame, rank: int = RANK, width: int =
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), least_run=RUN)
     return found.where(F.col("run") >= RUN).select("doc_id", "item_id")
 
 
