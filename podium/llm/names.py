@@ -25,9 +25,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from podium.session import cut_lineage
 from podium.sources.tables import table
 
 #: Titles and their abbreviations (fixed values).
@@ -287,6 +288,10 @@ def deletions(word: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), F.transform(places, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1000))))))
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
     """(source, record_id, member_id) for records (source, record_id, roster_id, name) of a body."""
     spelling = F.trim(F.regexp_replace(F.lower("name"), r"(?U)\s+", " "))
@@ -294,7 +299,9 @@ def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
     named = named.where((F.col("spelling") != "") & ~F.col("spelling").rlike(PLACEHOLDER) & F.col("spelling").rlike(r"\p{L}"))
     counts = named.groupBy("roster_id", "spelling").agg(F.count(F.lit(1)).alias("n"))
     bodies = roster.where("roster_id is not null").groupBy("roster_id").agg(F.max_by("members", F.size("members")).alias("members"))
-    explained = counts.join(bodies, "roster_id").select("roster_id", "spelling", "n", "members").mapInArrow(_explain, _EXPLAINED)
+    # The parsing is the dear part and its result is read several times: spread it, and keep it.
+    spread = counts.join(bodies, "roster_id").select("roster_id", "spelling", "n", "members").repartition(_tasks(records.sparkSession), "spelling")
+    explained = cut_lineage(spread.mapInArrow(_explain, _EXPLAINED))
     # Priors: the share of a body's records that are surely a member's, or a canonical form's.
     total = explained.groupBy("roster_id").agg(F.sum("n").alias("total"))
     sure = explained.where(F.col("cost") <= SOUND).groupBy("roster_id", "member_id").agg(F.sum("n").alias("sure"))
