@@ -60,8 +60,8 @@ def _classes(df: DataFrame, key: str, vector: Column, dim: int) -> DataFrame:
     return part.join(salted, ["v", "salt"]).select("id", "rep", "heads", unit(F.col("v")).alias("u"))
 
 
-def _orders(pivots: np.ndarray, m: int):
-    """Maps batches of (rep, u) to (rep, the m nearest pivots in order)."""
+def _orders(pivots: np.ndarray, first: int, m: int):
+    """Maps batches of (rep, u) to (rep, the first nearest pivots, the m nearest ones in order as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,8 +69,9 @@ def _orders(pivots: np.ndarray, m: int):
                 continue
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             near = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :m].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, m), pa.int32()), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "perm"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(near) * first + 1, first), pa.int32()), pa.array(near[:, :first].ravel()))
+            codes = pa.array([row.tobytes() for row in near.astype(np.uint16)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, codes], names=["rep", "perm", "code"])
 
     return run
 
@@ -93,7 +94,7 @@ def _meet(m: int, pivots: int, least: int, ranked: int):
 
     def fn(t: pa.Table, begins: np.ndarray) -> pa.Table:
         rep, block = numbers(t, "rep"), numbers(t, "block")
-        perm = np.asarray(t.column("perm").combine_chunks().flatten()).reshape(len(rep), m)
+        perm = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint16).reshape(len(rep), m).astype(np.int64)
         weight = np.zeros((len(rep), pivots), np.int8)
         weight[np.arange(len(rep))[:, None], perm] = np.arange(m, 0, -1, dtype=np.int8)
         starts = np.flatnonzero(begins)
@@ -143,19 +144,22 @@ def most_similar(df: DataFrame, key: str, vector: Column, k: int = 5, dim: int =
     length = min(pivots_n, 3 * m)
     chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(pivots_n).select("u").collect()
     pivots = np.array([r.u for r in chosen])
-    orders = reps.mapInArrow(_orders(pivots, length), "rep bigint, perm array<int>")
+    orders = reps.mapInArrow(_orders(pivots, m, length), "rep bigint, perm array<int>, code binary")
     if m >= 2:
-        asc = F.array_sort(F.slice("perm", 1, m))
+        asc = F.array_sort("perm")
         files = F.flatten(F.transform(asc, lambda p, i: F.transform(F.slice(asc, i + 2, m), lambda o: p.cast("bigint") * pivots_n + o)))
     else:
         files = F.transform("perm", lambda p: p.cast("bigint"))
-    posted = orders.select("rep", "perm", F.explode(files).alias("file"))
+    posted = orders.select("rep", "code", F.explode(files).alias("file"))
     # Files longer than a block: their rows go to one cell for each pair of blocks.
-    long = posted.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select("file", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    cut = posted.join(long, "file", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    long = cut_lineage(posted.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK).select("file", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    if long.isEmpty():
+        cut = posted.withColumn("blocks", F.lit(1).cast("bigint"))
+    else:
+        cut = posted.join(long, "file", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("bigint")))
     cut = cut.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     cells = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    cells = cells.select("rep", "perm", "file", "block", F.least("block", "with").alias("row"), F.greatest("block", "with").alias("col"))
+    cells = cells.select("rep", "code", "file", "block", F.least("block", "with").alias("row"), F.greatest("block", "with").alias("col"))
     least = math.ceil(AGREEMENT * length * (length + 1) / 2)
     met = map_groups(cells, ["file", "row", "col"], ["rep"], _meet(length, pivots_n, least, RANKED), "q bigint, c bigint, score int")
     best = met.groupBy("q", "c").agg(F.max("score").alias("score"))
