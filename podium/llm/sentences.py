@@ -66,7 +66,7 @@ _CLOSE = "”»」』）)]】》〉“›’\"'*"
 _TERMINATOR = re.compile(r"[.!?。！？｡।॥؟۔…‥։።។။]+")
 _PAIRS = re.compile("[" + re.escape("".join(_OPEN) + ")）]】」』》〉»”“›") + "]")
 _BLANK = re.compile(r"\r?\n[^\S\n]*(?=\n|\r\n)|\n\s*\n|[ \x0c]|\r(?!\n)\s*\r(?!\n)")
-_ITEM = re.compile(r"(?:(?<=\n)|(?<=\r)|\A)[^\S\n]*(?:\(?\d{1,3}[.)]|[-*•‣◦–—+]|[a-zA-Z][)])[^\S\n]+(?=\S)")
+_ITEM = re.compile(r"(?:(?<=\n)|(?<=\r)|\A)[^\S\n]*(?:\(?\d{1,3}[.)]|[-*•‣◦+]|[a-zA-Z][)])[^\S\n]+(?=\S)")
 _HEADING = re.compile(r"(?:(?<=\n)|\A)[^\S\n]*#{1,6}[^\S\n]+[^\r\n]*")
 _LABEL = re.compile(r"(?:>>\s*|[-–—]\s+)?(?:[\[(<]?\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]?(?:\s*-->\s*(?:\d+:\d\d(?::\d\d)?(?:[.,]\d+)?)?)?\s*)?(?:>>\s*)?(?:[^\s:：.!?][^\s:：!?]*(?:[^\S\n]+[^\s:：!?]+){0,4}[:：](?=\s)\s*|\[[^\]\n]{1,40}\]\s+)?")
 _THAI_GAP = re.compile(r"(?<=\S)\s+(?=[฀-໿])")
@@ -320,7 +320,9 @@ def _blocks(text: str) -> Iterator[tuple[int, int, bool]]:
         for m in _HEADING.finditer(part):
             marks.append((m.start(), m.end(), True))
         for m in _ITEM.finditer(part):
-            marks.append((m.start(), -1, True))
+            date = _WORD.match(part, m.end())
+            if not (date and date.group().lower() in DATES and m.start() and m.group().rstrip().endswith(".")):  # a wrapped ordinal is none
+                marks.append((m.start(), -1, True))
         marks.sort()
         at = 0
         for i, (a, b, _) in enumerate(marks):

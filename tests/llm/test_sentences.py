@@ -41,6 +41,11 @@ def test_blocks():
     assert [text[a:b] for a, b in sentences(text)] == ["## Head. Line", "Body one.", "Body two.", "1. Item. Still item", "- Other", "Speaker 4: Dr. A spoke.", "Then left.", "[01:02] Yes.", "No.", "last"]
 
 
+def test_wrapped_lines_are_no_items():
+    text = "Am Montag, dem\n21. Oktober, kam er. «Когда?»\n— спросил он.\n- Eins\n- Zwei"
+    assert [text[a:b] for a, b in sentences(text)] == ["Am Montag, dem\n21. Oktober, kam er.", "«Когда?»\n— спросил он.", "- Eins", "- Zwei"]
+
+
 def test_everything_is_covered_once():
     r = random.Random(4)
     parts = list("abcA.!?。”“«»()（「」\n\r \t…:;-#*1०กข ์中。") + ["\n\n", "Mr. ", "\r\n\r\n", "- x", "1. "]
