@@ -47,17 +47,21 @@ def voice(centroid: str = "centroid", embeddings: str = "embeddings") -> Column:
 
 
 def _classes(df: DataFrame, key: str, vector: Column, dim: int) -> DataFrame:
-    """(id, rep, rn, unit): every id with its class of equal vectors; rn its place in it up to 6, else null."""
+    """(id, rep, heads, u): every id with the least id and the six least ids of its class of equal vectors."""
     ok = (F.size("v") == dim) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)) & F.exists("v", lambda x: x != 0)
     rows = df.select(F.col(key).cast("bigint").alias("id"), vector.alias("v")).where("id is not null and v is not null").where(ok)
     rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    # Places in two steps, so that a class with a third of all rows is not ordered in one task.
-    part = rows.withColumn("salt", F.pmod("id", F.lit(64)))
-    part = part.withColumn("r1", F.row_number().over(Window.partitionBy("v", "salt").orderBy("id")))
-    firsts = part.where("r1 <= 6").withColumn("rn", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where("rn <= 6")
-    heads = firsts.groupBy("v").agg(F.min("id").alias("rep"), F.array_sort(F.collect_list("id")).alias("heads"))
-    salted = heads.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))))
-    return part.join(salted, ["v", "salt"]).select("id", "rep", "heads", unit(F.col("v")).alias("u"))
+    classes = cut_lineage(rows.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    u = unit(F.col("v")).alias("u")
+    single = classes.where("n = 1").select(F.col("rep").alias("id"), "rep", F.array("rep").alias("heads"), u)
+    # Classes of several: salted, so that one with a third of all rows is spread over tasks.
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(63).cast("bigint"))).alias("salt")
+    several = classes.where("n > 1").select("v", "rep", salts)
+    part = rows.withColumn("salt", F.pmod("id", F.lit(64))).join(several, ["v", "salt"]).select("id", "rep", "salt", "v")
+    part = part.withColumn("r", F.row_number().over(Window.partitionBy("rep", "salt").orderBy("id")))
+    firsts = part.where("r <= 6").withColumn("rn", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).where("rn <= 6")
+    heads = firsts.groupBy("rep").agg(F.array_sort(F.collect_list("id")).alias("heads")).select("rep", "heads", salts)
+    return single.unionByName(part.join(heads, ["rep", "salt"]).select("id", "rep", "heads", u))
 
 
 def _orders(pivots: np.ndarray, first: int, m: int):
@@ -79,11 +83,12 @@ def _orders(pivots: np.ndarray, first: int, m: int):
 _FOUND = pa.schema([("q", pa.int64()), ("c", pa.int64()), ("score", pa.int32())])
 
 
-def _meet(m: int, pivots: int, least: int, ranked: int):
+def _meet(first: int, m: int, pivots: int, least: int, ranked: int):
     """Pairs in each inverted file whose orders agree by at least `least`, the best `ranked` a vector.
 
     The footrule distance of two orders of length m is m(m+1) - 2s with s the sum, over pivots in
-    both, of the smaller of their weights m - place; the score is that s.
+    both, of the smaller of their weights m - place; the score is that s. A pair that meets in several
+    files is scored in the one of its two least shared pivots among the first.
     """
 
     def score(a: np.ndarray, b: np.ndarray, perm: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -93,7 +98,7 @@ def _meet(m: int, pivots: int, least: int, ranked: int):
         return s
 
     def fn(t: pa.Table, begins: np.ndarray) -> pa.Table:
-        rep, block = numbers(t, "rep"), numbers(t, "block")
+        rep, block, file = numbers(t, "rep"), numbers(t, "block"), numbers(t, "file")
         perm = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint16).reshape(len(rep), m).astype(np.int64)
         weight = np.zeros((len(rep), pivots), np.int8)
         weight[np.arange(len(rep))[:, None], perm] = np.arange(m, 0, -1, dtype=np.int8)
@@ -113,6 +118,12 @@ def _meet(m: int, pivots: int, least: int, ranked: int):
             b = a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             other = (row[a] == col[a]) | (block[a] != block[b])  # two blocks meet across only
             a, b = a[other], b[other]
+            if first >= 2:
+                second, shared = file[a] % pivots, np.zeros(len(a), np.int8)
+                for i in range(first):
+                    pivot = perm[a, i]
+                    shared += (pivot < second) & (weight[b, pivot] > m - first)
+                a, b = a[shared == 1], b[shared == 1]
             s = score(a, b, perm, weight)
             good = s >= least
             out.append((a[good], b[good], s[good]))
@@ -122,8 +133,8 @@ def _meet(m: int, pivots: int, least: int, ranked: int):
         q, c, s = np.append(a, b), np.append(b, a), np.append(s, s)
         order = np.lexsort((rep[c], -s, q))
         q, c, s = q[order], c[order], s[order]
-        first = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
-        place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+        at = np.flatnonzero(np.append(True, q[1:] != q[:-1])) if len(q) else np.zeros(0, np.int64)
+        place = np.arange(len(q)) - np.repeat(at, np.diff(np.append(at, len(q))))
         keep = place < ranked
         return pa.table({"q": rep[q[keep]], "c": rep[c[keep]], "score": s[keep]}).cast(_FOUND)
 
@@ -161,7 +172,7 @@ def most_similar(df: DataFrame, key: str, vector: Column, k: int = 5, dim: int =
     cells = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     cells = cells.select("rep", "code", "file", "block", F.least("block", "with").alias("row"), F.greatest("block", "with").alias("col"))
     least = math.ceil(AGREEMENT * length * (length + 1) / 2)
-    met = map_groups(cells, ["file", "row", "col"], ["rep"], _meet(length, pivots_n, least, RANKED), "q bigint, c bigint, score int")
+    met = map_groups(cells, ["file", "row", "col"], ["rep"], _meet(m, length, pivots_n, least, RANKED), "q bigint, c bigint, score int")
     best = met.groupBy("q", "c").agg(F.max("score").alias("score"))
     ranked = best.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("r") <= RANKED)
     # Rerank: each unordered pair once, by exact cosine.
