@@ -283,9 +283,12 @@ def _strangers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deletions(word: Column) -> Column:
-    """The word and all its variants with one letter left out: words one edit apart share one."""
-    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(word)))
-    return F.array_distinct(F.concat(F.array(word), F.transform(places, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(1000))))))
+    """The word and all its variants with one letter left out: words one edit apart share one.
+
+    A word of more than 64 letters, which is no surname, is its own only key.
+    """
+    places = F.when(F.char_length(word) <= 64, F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length(word)))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.concat(F.array(word), F.transform(places, lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.lit(64))))))
 
 
 def _tasks(spark: SparkSession) -> int:

@@ -8,7 +8,8 @@ alone and is memoised. The only encoding of which all neighbours are compatible
 merge rules give, and it is found in linear time, without applying a merge.
 
 Text is first cut by the tokenizer's pre-token pattern, so a token never spans two pieces; the
-ids of a piece are remembered within a worker, up to a bound after which the memory starts anew.
+ids of a piece of up to LONG letters are remembered within a worker, up to MEMORY pieces, after which
+the memory starts anew.
 
 Defined cases: null and empty texts give an empty list; strings that look like special tokens are
 ordinary text; lone surrogates cannot occur in Parquet strings; any length of text works in time
@@ -32,6 +33,7 @@ TOKENIZERS = "/opt/tokenizers"
 #: The pre-token pattern that belongs to the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 MEMORY = 500_000
+LONG = 64
 
 
 class BacktrackingEncoder:
@@ -171,10 +173,11 @@ class BacktrackingEncoder:
         try:
             return list(chain.from_iterable([pieces[p] for p in found]))
         except KeyError:
+            own: dict[str, tuple[int, ...]] = {}  # long pieces are not remembered beyond their text
             for p in found:
-                if p not in pieces:
-                    pieces[p] = self.encode_piece(p)
-            return list(chain.from_iterable([pieces[p] for p in found]))
+                if p not in pieces and p not in own:
+                    (pieces if len(p) <= LONG else own)[p] = self.encode_piece(p)
+            return list(chain.from_iterable([pieces.get(p) or own[p] for p in found]))
 
 
 _ENCODERS: dict[str, BacktrackingEncoder] = {}

@@ -11,6 +11,7 @@ def test_variants_and_strangers(spark):
         "Priya Laneerado": 3, "Prya Lanirado": 3, "Hana Lanirado": None, "Water Reclamation Dept.": 4, "D.W.R.": 4, "Depratment of Water Reclamation": 4, "Department of Street Works": None, "Pelannell": None, "Trustee Pelannell": 5, "Neil Pelannell": 6,
         "Unknown": None, "": None, "  ": None, "N/A": None, None: None, "SPEAKER_04": None, "?": None,
     }
+    typed |= {"Jane " + "Adams" * 20_000: None, "Jane " * 3_000: None}
     rows = [("mapping", i, 1, n, "x") for i, n in enumerate(typed)] + [("profile", 1, 2, "Jane Adams", "x"), ("profile", 2, 3, "Jane Adams", "x"), ("profile", 3, None, "Jane Adams", "x"), ("profile", 4, 77, "Jane Adams", "x")]
     df = spark.createDataFrame(rows, "source string, record_id bigint, roster_id int, name string, canonical string")
     got = names.attribute(df, roster).collect()
@@ -35,6 +36,6 @@ def test_distances():
 
 
 def test_deletions(spark):
-    df = spark.createDataFrame([("abc",), ("a",), ("",)], "w string")
+    df = spark.createDataFrame([("abc",), ("a",), ("",), ("x" * 100_000,)], "w string")
     rows = df.select(names.deletions(F.col("w")).alias("d")).collect()
-    assert [sorted(r.d) for r in rows] == [["ab", "abc", "ac", "bc"], ["", "a"], [""]]
+    assert [sorted(r.d) for r in rows] == [["ab", "abc", "ac", "bc"], ["", "a"], [""], ["x" * 100_000]]

@@ -31,6 +31,8 @@ def test_long_pieces_are_linear(pair):
     ours, theirs = pair
     assert ours("x" * 50_000) == theirs("x" * 50_000)
     assert ours("ab" * 100_000)
+    long = "never " + "seen" * 40 + " before " + "seen" * 40
+    assert ours(long) == theirs(long) and all(len(p) <= 64 for p in ours.pieces)
 
 
 def test_frame(spark, pair):
