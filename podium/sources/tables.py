@@ -37,7 +37,11 @@ def once(df: DataFrame, keys: list[str], **columns: Column) -> DataFrame:
     return kept.groupBy(*keys).agg(*[F.min(n).alias(n) for n in columns])
 
 
+#: Seconds into a recording from which on a time is taken for none: three years.
+LONGEST = 1.0e8
+
+
 def millis(seconds: Column | str) -> Column:
-    """Seconds to whole milliseconds; null for NaN and values no clock can hold."""
+    """Seconds to whole milliseconds; null for NaN, infinities and times no recording reaches (LONGEST)."""
     s = F.col(seconds) if isinstance(seconds, str) else seconds
-    return F.when(F.abs(s) < F.lit(9.0e12), F.round(s * 1000).cast("bigint"))
+    return F.when(F.abs(s) < LONGEST, F.round(s * 1000).cast("bigint"))

@@ -20,6 +20,13 @@ def test_speaker_number(spark):
     assert {r.l: r.n for r in rows} == cases
 
 
+def test_times_that_are_none(spark):
+    from podium.sources.tables import millis
+
+    df = spark.createDataFrame([(1.2345,), (float("nan"),), (float("inf"),), (-3.0,), (1e18,), (None,), (0.0,)], "s double")
+    assert [r.m for r in df.select(millis("s").alias("m")).collect()][1:] == [None, None, -3000, None, None, 0]
+
+
 def brute_periods(rows):
     by = defaultdict(list)
     for g, e, s, t in rows:
