@@ -36,6 +36,8 @@ hr fr nr abs bzw z.b d.h u.a s rd mio mrd str tel usw.z evtl ggf vgl inkl zzgl b
 MAYBE_LAST = frozenset("a.m p.m a.m p.m etc u.s.w usw и.т.д и.т.п др пр руб коп гг ft in oz lb sq".split())
 #: Abbreviations, also of names of firms and streets, after which only an opening word is a new sentence.
 SELDOM_LAST = frozenset("inc ltd co corp llc plc jr sr ave blvd rd st dept u.s u.k e.u u.n d.c h.t s.a uu kg gmbh".split())
+#: Abbreviations that are words as well: in lower case before a capital they end a sentence (fixed values).
+WORDS_TOO = frozenset("no nos art fig sec par app gen col ed cap tel ing".split())
 #: Words that open sentences (fixed values); used where a capital alone does not tell.
 OPENERS = frozenset("""
 the a an this that these those there it he she we they you i in on at as if when while after before since because although however later meanwhile then what who why how where which is are was were
@@ -68,7 +70,7 @@ _PAIRS = re.compile("[" + re.escape("".join(_OPEN) + ")）]】」』》〉»”
 _BLANK = re.compile(r"\r?\n[^\S\n]*(?=\n|\r\n)|\n\s*\n|[ \x0c]|\r(?!\n)\s*\r(?!\n)")
 _ITEM = re.compile(r"(?:(?<=\n)|(?<=\r)|\A)[^\S\n]*(?:\(?\d{1,3}[.)]|[-*•‣◦+]|[a-zA-Z][)])[^\S\n]+(?=\S)")
 _HEADING = re.compile(r"(?:(?<=\n)|\A)[^\S\n]*#{1,6}[^\S\n]+[^\r\n]*")
-_LABEL = re.compile(r"(?:>>\s*|[-–—]\s+)?(?:[\[(<]?\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]?(?:\s*-->\s*(?:\d+:\d\d(?::\d\d)?(?:[.,]\d+)?)?)?\s*)?(?:>>\s*)?(?:[^\s:：.!?][^\s:：!?]*(?:[^\S\n]+[^\s:：!?]+){0,4}[:：](?=\s)\s*|\[[^\]\n]{1,40}\]\s+)?")
+_LABEL = re.compile(r"(?:>>\s*|[-–—]\s+)?(?:[\[(<]?\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]?(?:\s*-->\s*(?:\d+:\d\d(?::\d\d)?(?:[.,]\d+)?)?)?\s*)?(?:>>\s*)?(?:(?:[^\s:：.!?]+|\w{1,4}\.)(?:[^\S\n]+(?:[^\s:：.!?]+|\w{1,4}\.)){0,4}[:：](?=\s)\s*|\[[^\]\n]{1,40}\]\s+)?")
 _THAI_GAP = re.compile(r"(?<=\S)\s+(?=[฀-໿])")
 _CJK_GAP = re.compile(r"(?<=[぀-ヿ㐀-鿿])[^\S\n\r]+(?=[぀-ヿ㐀-鿿])")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
@@ -194,6 +196,17 @@ def _goes_on(block: str, start: int, opened: int, after: int) -> bool:
     return c.isdigit() and leads
 
 
+def _lost_space(block: str, at: int, nxt: int) -> bool:
+    """A full stop between a small letter and a word with a capital: an end whose space was lost, or an address or decimal."""
+    if not (block[at - 1].islower() and block[nxt].isupper() and (block[nxt + 1 : nxt + 2].islower() or block[nxt + 1 : nxt + 2].isspace() or block[nxt + 1 : nxt + 2] in (".", "'", "’"))):
+        return False
+    token = re.search(r"\S*$", block[max(0, at - 60) : at]).group()
+    word = _abbreviation(block, at)
+    if word in MAYBE_LAST:
+        return True
+    return len(word) > 1 and word not in NEVER_LAST and not any(c in token for c in "@/.\\_")
+
+
 def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
     """Whether the terminators block[at:end] (with closing signs up to `end`) end a sentence."""
     n = len(block)
@@ -202,10 +215,10 @@ def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
         nxt += 1
     if nxt >= n:
         return True
-    if nxt == end:
-        return False  # decimals, addresses, clocks
     c = block[nxt]
     before = block[at - 1] if at else " "
+    if nxt == end:
+        return mark == "." and end == at + 1 and _lost_space(block, at, end)
     if c in ",;:—–،؛" or c in "!?.)" or (c == "-" and not block[nxt + 1 : nxt + 2].isspace()):
         return c in "—–" and mark[0] not in "!?" and block[nxt + 1 : nxt + 2].isalpha()
     if c.islower():
@@ -228,6 +241,8 @@ def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
             m = re.search(r"([^\W\d_][\w'’-]*)\s+\w+$", block[max(0, at - 40) : at])
             street = bool(m and m.group(1)[:1].isupper() and m.group(1).lower() not in OPENERS)
             return street and follows in OPENERS
+        if word in WORDS_TOO and c.isupper() and block[at - len(word)].islower():
+            return True
         if word in NEVER_LAST or word.endswith("str") and len(word) > 4 and c.islower():
             return False
         if len(word) == 1:  # an initial, also in scripts without case; or the first of several

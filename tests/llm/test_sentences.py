@@ -41,6 +41,17 @@ def test_blocks():
     assert [text[a:b] for a, b in sentences(text)] == ["## Head. Line", "Body one.", "Body two.", "1. Item. Still item", "- Other", "Speaker 4: Dr. A spoke.", "Then left.", "[01:02] Yes.", "No.", "last"]
 
 
+def test_labels_hold_no_sentence():
+    for parts in (["J. R. Low: It is so.", "Yes."], ["Staff agreed.", "Then: no.", "End."], [">> DR. ROY: Hm. no?", "Yes."]):
+        text = " ".join(parts)
+        assert [text[a:b] for a, b in sentences(text)] == parts
+
+
+def test_lost_spaces():
+    text = "He left the podium.Questions came at 5:00 p.m.The clerk wrote to Ann@Mail.Example or a.B and Mr.Low, see x/y.Txt now."
+    assert [text[a:b] for a, b in sentences(text)] == ["He left the podium.", "Questions came at 5:00 p.m.", "The clerk wrote to Ann@Mail.Example or a.B and Mr.Low, see x/y.Txt now."]
+
+
 def test_wrapped_lines_are_no_items():
     text = "Am Montag, dem\n21. Oktober, kam er. «Когда?»\n— спросил он.\n- Eins\n- Zwei"
     assert [text[a:b] for a, b in sentences(text)] == ["Am Montag, dem\n21. Oktober, kam er.", "«Когда?»\n— спросил он.", "- Eins", "- Zwei"]
