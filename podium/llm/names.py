@@ -292,7 +292,8 @@ def deletions(word: Column) -> Column:
 
 
 def _tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many as a shuffle has, but no more than two for each core: the rows are few and dear."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
 def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
