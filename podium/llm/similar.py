@@ -3,15 +3,17 @@
 Method: a bounded set of pivots is drawn from the vectors; each vector is represented by its m
 nearest pivots in order. It is posted in the inverted files of all pairs of those pivots, so that
 two vectors meet where they share at least two of them; the candidates that meet are ranked by the
-footrule distance of their orders of the 3m nearest pivots, and the best are reranked by exact cosine. The pivots'
-number grows with the root of the vectors', so the files stay short; a file that is long all the
+footrule distance of their orders of the 3m nearest pivots, and the best are reranked by exact cosine. The
+footrule cannot order many vectors that are alike but not equal: a vector of which candidates were
+left out by it is compared with every vector by exact cosine, block by block. The pivots' number grows with the root of the vectors', so the files stay short; a file that is long all the
 same is cut into blocks that are compared block by block, on as many tasks.
 
 Exact copies are one class: only its representative is posted. The members' own neighbours within
 a class are its least ids, so a class of any size costs a fixed number of rows a member.
 
 Bounds: at most MAX_PIVOTS pivots (their size is known before they are sent out); the pivots are the
-documented sample, every row is indexed. RANKED candidates by footrule are reranked for each vector.
+documented sample, every row is indexed. RANKED candidates by footrule are reranked for each vector;
+where there are more, none is left out. A block of the exact way holds EXACT vectors of either side.
 
 Defined cases: a vector that is null, empty, not of the dimension asked for, or holds a null or NaN
 takes no part, nor do zero vectors; equal cosines go to the lesser id; repeated rows of an id count
@@ -38,6 +40,7 @@ RANKED = 24
 #: Pairs whose orders agree less than this (1 for equal orders, about 0.2 by chance) are not ranked.
 AGREEMENT = 0.3
 BLOCK = 2048
+EXACT = 16384
 _PAIR_BUDGET = 2_000_000
 
 
@@ -141,6 +144,47 @@ def _meet(first: int, m: int, pivots: int, least: int, ranked: int):
     return fn
 
 
+def _nearest(k: int, floor: float):
+    """The k nearest of a block of vectors (role 1) to each of a block of queries (role 0), by exact cosine."""
+
+    def fn(t: pa.Table, begins: np.ndarray) -> pa.Table:
+        rep, role = numbers(t, "rep"), numbers(t, "role")
+        x = np.asarray(t.column("u").combine_chunks().flatten()).reshape(len(rep), -1)
+        starts = np.flatnonzero(begins)
+        out = []
+        for lo, hi in zip(starts, np.append(starts[1:], len(rep)), strict=True):
+            mid = lo + int((role[lo:hi] == 0).sum())
+            if not lo < mid < hi:
+                continue
+            ids, step = rep[mid:hi], max(1, _PAIR_BUDGET // (hi - mid))
+            for at in range(lo, mid, step):
+                own = rep[at : min(at + step, mid)]
+                s = np.round(x[at : at + len(own)] @ x[mid:hi].T, 12)
+                s[own[:, None] == ids] = -2.0
+                least = np.partition(s, len(ids) - min(k, len(ids)), axis=1)[:, len(ids) - min(k, len(ids))]
+                a, b = np.nonzero((s >= least[:, None]) & (s >= max(floor, -1.5) - 1e-9))
+                order = np.lexsort((b, -s[a, b], a))  # the ids of a block are in order
+                a, b = a[order], b[order]
+                keep = np.arange(len(a)) - np.searchsorted(a, a) < k
+                a, b = a[keep], b[keep]
+                out.append((own[a], ids[b], s[a, b]))
+        q, c, s = (np.concatenate(v) for v in zip(*out, strict=True)) if out else ([], [], [])
+        return pa.table({"q": pa.array(q, pa.int64()), "c": pa.array(c, pa.int64()), "near": pa.array(s, pa.float64())})
+
+    return fn
+
+
+def _exact(reps: DataFrame, n: int, some: DataFrame, n_some: int, k: int, floor: float) -> DataFrame:
+    """(q, c): the k nearest of all reps to every q of some, each block of the one against each of the other."""
+    rows, cols = math.ceil(n_some / EXACT), math.ceil(n / EXACT)
+    block = lambda blocks: F.pmod(F.xxhash64("rep"), F.lit(blocks))
+    each = lambda blocks: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    asked = reps.join(some.select(F.col("q").alias("rep")), "rep").select("rep", "u", F.lit(0).alias("role"), block(rows).alias("row"), each(cols).alias("col"))
+    given = reps.select("rep", "u", F.lit(1).alias("role"), block(cols).alias("col"), each(rows).alias("row"))
+    near = map_groups(asked.unionByName(given), ["row", "col"], ["role", "rep"], _nearest(k, floor), "q bigint, c bigint, near double")
+    return near.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "c"))).where(F.col("r") <= k).select("q", "c")
+
+
 def most_similar(df: DataFrame, key: str, vector: Column, k: int = 5, dim: int = 64, floor: float = -1.0) -> DataFrame:
     """(id, other, cosine): up to k most similar others of every id, those with a cosine >= floor; k <= 5."""
     assert 1 <= k <= 5
@@ -172,9 +216,15 @@ def most_similar(df: DataFrame, key: str, vector: Column, k: int = 5, dim: int =
     cells = cut.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     cells = cells.select("rep", "code", "file", "block", F.least("block", "with").alias("row"), F.greatest("block", "with").alias("col"))
     least = math.ceil(AGREEMENT * length * (length + 1) / 2)
-    met = map_groups(cells, ["file", "row", "col"], ["rep"], _meet(m, length, pivots_n, least, RANKED), "q bigint, c bigint, score int")
+    met = map_groups(cells, ["file", "row", "col"], ["rep"], _meet(m, length, pivots_n, least, RANKED + 1), "q bigint, c bigint, score int")
     best = met.groupBy("q", "c").agg(F.max("score").alias("score"))
-    ranked = best.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("r") <= RANKED)
+    ranked = best.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("r") <= RANKED + 1)
+    ranked = cut_lineage(ranked.select("q", "c", "r"))
+    # Vectors that have more candidates than are ranked: all that there are, by exact cosine.
+    dense = ranked.where(F.col("r") > RANKED).select("q")
+    n_dense = dense.count()
+    if n_dense:
+        ranked = ranked.join(dense, "q", "left_anti").select("q", "c").unionByName(_exact(reps, n, dense, n_dense, k, floor))
     # Rerank: each unordered pair once, by exact cosine.
     pairs = ranked.select(F.least("q", "c").alias("a"), F.greatest("q", "c").alias("b")).distinct()
     left, right = reps.select(F.col("rep").alias("a"), F.col("u").alias("ua")), reps.select(F.col("rep").alias("b"), F.col("u").alias("ub"))

@@ -43,6 +43,18 @@ def test_long_files_are_cut_without_loss(spark, monkeypatch):
     assert len(whole & cut) >= 0.9 * len(whole)
 
 
+def test_a_hot_group_of_similar_vectors_loses_nothing(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    center = r.standard_normal(64)
+    vectors = {i: (center + 0.4 * r.standard_normal(64) if i % 3 == 0 else r.standard_normal(64)).tolist() for i in range(1200)}
+    df, want = frame(spark, [(i, v, "x", 1) for i, v in vectors.items()]), brute(vectors, 5, 0.8)
+    assert len(want) > 1900
+    for block in (similar.EXACT, 250):
+        monkeypatch.setattr(similar, "EXACT", block)
+        got = [(x.id, x.other) for x in similar.most_similar(df, "id", F.col("v"), floor=0.8).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_copies_and_what_takes_no_part(spark):
     a, b = [1.0] * 64, [1.0] * 63 + [0.9]
     rows = [(i, a, "x", 1) for i in range(1, 201)] + [(300, b, "x", 1), (301, [0.0] * 64, "", 0), (302, None, "", 0), (303, [], "", 0), (304, [float("nan")] * 64, "", 0), (None, a, "", 0), (305, [1.0], "", 0), (300, b, "y", 2)]
