@@ -67,7 +67,11 @@ for _full, _short in NICKNAMES.items():
 #: Costs in nats: an edit, a sound-alike, a nickname, an initial, a dropped given name, parts reordered.
 EDIT, SOUND, NICK, INITIAL, DROPPED, ORDER = 4.0, 1.5, 1.0, 2.0, 3.0, 1.0
 #: What a name that is no member's must pay for being like one by chance, and a title that is another's.
-STRANGER, OTHER_TITLE = 9.9, 2.0
+STRANGER, OTHER_TITLE = 7.0, 2.0
+#: The least share of a body's records that a member counts for, and that makes a stranger's form frequent.
+UNSEEN, FREQUENT = 0.03, 0.0066
+#: A mistyped form that has so many times the member's share is a name of its own.
+OWN = 3
 NEVER = 1e9
 
 
@@ -129,7 +133,8 @@ def given_cost(typed: str, meant: str) -> float:
     best = word_cost(typed, meant)
     for n in NICKNAMES.get(meant, "").split():
         best = min(best, NICK + (word_cost(typed, n) if len(n) > 3 else 0.0 if typed == n else NEVER))
-    return best
+    # A name that is known is itself rather than another one mistyped twice.
+    return NEVER if best > NICK + EDIT and (typed in NICKNAMES or typed in _GIVEN) else best
 
 
 class Parsed:
@@ -311,12 +316,15 @@ def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
     sure = explained.where(F.col("cost") <= SOUND).groupBy("roster_id", "member_id").agg(F.sum("n").alias("sure"))
     forms = explained.where("canonical <> ''").groupBy("roster_id", "canonical").agg(F.sum("n").alias("form_n"), F.min("cost").alias("form_cost"))
     scored = explained.join(total, "roster_id").join(sure, ["roster_id", "member_id"], "left").join(forms, ["roster_id", "canonical"], "left")
-    prior = F.log((F.coalesce("sure", F.lit(0)) + 1) / (F.col("total") + 1))
-    scored = scored.withColumn("member_score", prior - F.col("cost"))
+    # All scores are of shares of the body, so that a table of ten times the records judges alike.
+    share = F.greatest(F.coalesce("sure", F.lit(0)) / F.col("total"), F.lit(UNSEEN))
+    scored = scored.withColumn("member_score", F.log(share) - F.col("cost"))
     # A form of its own, frequent or not, is a stranger's if that explains it better than errors in a member's.
-    fresh = F.when(F.col("canonical") != "", F.log(F.coalesce("form_n", F.lit(1)).cast("double")) - STRANGER).otherwise(F.lit(-NEVER))
+    form = F.coalesce("form_n", F.lit(1)) / F.col("total")
+    fresh = F.when((F.col("canonical") != "") & (F.col("form_cost") >= EDIT) & (form > OWN * share), F.lit(0.0))
+    fresh = fresh.when(F.col("canonical") != "", F.log(form) - STRANGER).otherwise(F.lit(-NEVER))
     first = scored.withColumn("fresh_score", fresh)
-    frequent = first.where("canonical <> '' and form_n >= 2").groupBy("roster_id", "canonical").agg(F.max("form_n").alias("form_n"), F.max("total").alias("total"), F.min("form_cost").alias("form_cost"), F.max("member_score").alias("m"), F.max("fresh_score").alias("f"))
+    frequent = first.where((F.col("canonical") != "") & (F.col("form_n") >= FREQUENT * F.col("total"))).groupBy("roster_id", "canonical").agg(F.max("form_n").alias("form_n"), F.max("total").alias("total"), F.min("form_cost").alias("form_cost"), F.max("member_score").alias("m"), F.max("fresh_score").alias("f"))
     strangers = frequent.where((F.col("m").isNull()) | (F.col("f") > F.col("m")) | (F.col("form_cost") >= NEVER / 2))
     strangers = strangers.select("roster_id", F.col("canonical").alias("form"), F.log(F.col("form_n") / F.col("total")).alias("form_prior"), F.explode(deletions(F.split_part("canonical", F.lit("|"), F.lit(2)))).alias("key"))
     doubtful = first.where(F.col("member_id").isNotNull() & (F.col("cost") >= EDIT)).select("roster_id", "spelling", F.explode(deletions(F.col("surname"))).alias("key"))

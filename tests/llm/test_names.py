@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from podium.llm import names
@@ -29,12 +30,27 @@ def test_a_frequent_stranger_keeps_its_own_typos(spark):
     assert got == {101, *range(200, 205)}
 
 
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_ten_times_the_records_change_no_attribution(spark, times):
+    members = [(1, "Jane Fenwick", []), (2, "Priya Lanirado", []), (3, "Tobias Okongwe", [])]
+    roster = spark.createDataFrame([(1, members)], "roster_id int, members array<struct<member_id bigint, name string, aliases array<string>>>")
+    counts = {"Jane Fenwick": 12, "Priya Lanirado": 300, "Jane Femwick": 1, "Priya Lanbrafo": 1, "Tobias Okomgwe": 1, "Jane Felwack": 90, "Jane Felwock": 1}
+    rows = [("m", i, 1, name) for i, (name, n) in enumerate(counts.items()) for _ in range(n * times)]
+    df = spark.createDataFrame(rows, "source string, record_id bigint, roster_id int, name string")
+    got = {tuple(r) for r in names.attribute(df, roster).select("record_id", "member_id").distinct().collect()}
+    assert got == {(0, 1), (1, 2), (2, 1), (3, 2), (4, 3)}
+
+
 def test_distances():
     assert names.edits("abcd", "abdc") == 1 and names.edits("abc", "xyz", 2) == 3 and names.edits("", "ab") == 2
     assert names.sound("Lanirado".lower()) == names.sound("laneerado") and names.sound("elvould") == names.sound("elvooold")
     assert names.given_cost("bob", "robert") < names.given_cost("robret", "robert") < names.NEVER <= names.given_cost("x", "robert")
 
 
+def test_another_known_name_is_no_double_typo():
+    assert names.given_cost("becky", "elizabeth") == names.NEVER and names.given_cost("betyt", "elizabeth") < names.NEVER
+
+
 def test_deletions(spark):
     df = spark.createDataFrame([("abc",), ("a",), ("",), ("x" * 100_000,)], "w string")
     rows = df.select(names.deletions(F.col("w")).alias("d")).collect()
