@@ -5,6 +5,7 @@ vectors over the items' vocabulary, with document frequencies counted over the w
 distributed randomised SVD (power iterations with partial products summed in Spark) gives the
 latent space. Every document is cut into passages that overlap by half, so that any run of 12 words
 lies whole in one; a passage is projected, and items with a passage of enough cosine are candidates.
+So is, whatever the cosine, an item that holds RUN or more successive words of the passage.
 Candidates are verified by longest common subsequence, then by the longest common run, and for
 paraphrases by the share of the item's rare words (its answer) that the passage holds.
 
@@ -172,7 +173,7 @@ class _Model:
         self.answers = [frozenset(sorted(s, key=lambda w: (order[vocabulary[w]], w))[:6]) for s in self.sets]
 
     def candidates(self, found: list[list[str]], least_run: int) -> Iterator[tuple[int, int, int]]:
-        """(document, start, item) of passages near an item in the latent space.
+        """(document, start, item) of passages near an item in the latent space, or with RUN words in a row that it holds.
 
         Left out are those of which it is sure that their common subsequence with the item is
         shorter than RUN, or their common run shorter than least_run.
@@ -194,7 +195,13 @@ class _Model:
         end = np.minimum(start + self.width, base[doc + 1])
         size = np.maximum(norm[end] - norm[start], 1e-9)
         # The share of the norm in the items' words bounds that in the latent space.
-        may = np.flatnonzero((inside[end] - inside[start]) / size >= ENERGY**2)
+        # RUN words in a row of the vocabulary are verified whatever they weigh.
+        at = np.arange(len(ids))
+        gap = np.maximum.accumulate(np.where((ids < 0) | np.isin(at, base), at - (ids >= 0), -1))  # the last place before the row
+        ends = np.append(0, np.cumsum(at - gap >= RUN))
+        inner = np.minimum(start + RUN - 1, end)
+        runs = ends[end] - ends[inner] > 0
+        may = np.flatnonzero(((inside[end] - inside[start]) / size >= ENERGY**2) | runs)
         for lo in range(0, len(may), 2048):
             some = may[lo : lo + 2048]
             y = np.zeros((len(some), self.q.shape[1]), np.float32)
@@ -203,7 +210,7 @@ class _Model:
                 ok = p < end[some]
                 i = np.where(ok, ids[np.minimum(p, len(ids) - 1)], -1)
                 y[i >= 0] += self.q[i[i >= 0]]
-            near = np.flatnonzero(np.linalg.norm(y, axis=1) >= ENERGY * np.sqrt(size[some]))
+            near = np.flatnonzero((np.linalg.norm(y, axis=1) >= ENERGY * np.sqrt(size[some])) | runs[some])
             if not len(near):
                 continue
             cosine = np.maximum.reduceat((y[near] / np.sqrt(size[some[near]])[:, None]) @ self.z.T, self.first, axis=1)
@@ -217,7 +224,7 @@ class _Model:
                 held += has
                 row = (row + 1) * has
                 np.maximum(longest, row, out=longest)
-            for n, item in zip(*np.nonzero((cosine >= COSINE) & (held >= RUN) & (longest >= least_run)), strict=True):
+            for n, item in zip(*np.nonzero(((cosine >= COSINE) & (held >= RUN) & (longest >= least_run)) | (longest >= max(RUN, least_run))), strict=True):
                 at = some[near[n]]
                 d = int(doc[at])
                 yield d, int(start[at] - base[d]), int(item)

@@ -33,6 +33,18 @@ def test_planted_passages(spark):
     assert leaks.leaks(d.limit(0), i).count() == 0 and leaks.leaks(d, i.limit(0)).count() == 0
 
 
+def test_a_run_of_light_words_among_heavy_ones(spark):
+    """An excerpt that a third of all documents hold, in text that shares nothing else with the items."""
+    r = random.Random(4)
+    items = [(i, " ".join(text(r, 60)), "t") for i in range(20)]
+    excerpt = items[3][1].split()[20:32]
+    docs = [(d, " ".join([*text(r, 40), *(excerpt if d % 3 == 0 else []), *text(r, 40)]), 1) for d in range(3000)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string, run int"), spark.createDataFrame(items, "item_id bigint, text string, shared string")
+    for least in (0, 12):
+        got = leaks.leaks(d, i, rank=64, least_run=least).where(F.col("run") >= 12).select("doc_id", "item_id").collect()
+        assert {tuple(x) for x in got} == {(k, 3) for k in range(0, 3000, 3)}
+
+
 def test_pieces():
     assert leaks.words("L’Été à 3,5 ﬁx") == ["l", "ete", "a", "3", "5", "fix"]
     assert leaks.common_subsequence("a b c d".split(), "x a c y d".split()) == 3
