@@ -255,7 +255,7 @@ def correction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.col("name") != F.col("corrected")
     alias = F.trim("name")
     learn = changed & (F.char_length(alias) >= 3) & ~F.lower(alias).isin("speaker", "unknown", "unidentified", "none", "n/a") & ~F.col("name").startswith("SPEAKER_")
-    return fixed.where("tier between 0 and 3").groupBy("meeting_id").agg(F.count_if(changed).alias("corrections"), F.count_if(learn & (F.col("tier") > 0)).alias("aliases"))
+    return fixed.groupBy("meeting_id").agg(F.count_if(changed).alias("corrections"), F.count_if(learn & (F.col("tier") > 0)).alias("aliases"))
 
 
 
