@@ -40,7 +40,7 @@ def test_long_files_are_cut_without_loss(spark, monkeypatch):
     whole = {(x.id, x.other) for x in similar.most_similar(df, "id", F.col("v")).collect()}
     monkeypatch.setattr(similar, "BLOCK", 16)
     cut = {(x.id, x.other) for x in similar.most_similar(df, "id", F.col("v")).collect()}
-    assert len(whole & cut) >= 0.9 * len(whole)
+    assert whole == cut
 
 
 def test_a_hot_group_of_similar_vectors_loses_nothing(spark, monkeypatch):
@@ -55,6 +55,24 @@ def test_a_hot_group_of_similar_vectors_loses_nothing(spark, monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_more_neighbours_and_many_pivots(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    centers = r.standard_normal((100, 64))
+    vectors = {i: (centers[i % 100] + 0.35 * r.standard_normal(64)).tolist() for i in range(1500)}
+    df, want = frame(spark, [(i, v, "x", 1) for i, v in vectors.items()]), brute(vectors, 12, 0.8)
+    monkeypatch.setattr(similar, "GROUPED", 100)
+    got = {(x.id, x.other) for x in similar.most_similar(df, "id", F.col("v"), k=12, floor=0.8).collect()}
+    assert len(got & want) >= 0.98 * len(want) and len(got & want) >= 0.98 * len(got)
+
+
+def test_footrule():
+    r = np.random.default_rng(9)
+    perm = np.array([r.permutation(12)[:5] for _ in range(20)])
+    place = lambda row, p: list(row).index(p) if p in row else 5
+    want = [[30 - sum(abs(place(a, p) - place(b, p)) for p in range(12)) for b in perm] for a in perm]
+    assert (2 * similar.footrule(perm) == np.array(want)).all()
+
+
 def test_copies_and_what_takes_no_part(spark):
     a, b = [1.0] * 64, [1.0] * 63 + [0.9]
     rows = [(i, a, "x", 1) for i in range(1, 201)] + [(300, b, "x", 1), (301, [0.0] * 64, "", 0), (302, None, "", 0), (303, [], "", 0), (304, [float("nan")] * 64, "", 0), (None, a, "", 0), (305, [1.0], "", 0), (300, b, "y", 2)]
