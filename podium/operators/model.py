@@ -9,15 +9,24 @@ from pyspark.sql import DataFrame
 
 
 def ask(prompts: DataFrame, key: str, prompt: str, model: Callable[[list[str]], list[str]]) -> DataFrame:
-    """(key, answer) of (key, prompt) rows: model answers a batch of prompts; a failed batch gives null answers."""
+    """(key, answer) of (key, prompt) rows: model answers a batch of prompts.
+
+    The prompts of a batch that fails are asked one by one; a prompt that fails alone gives a null answer.
+    """
     kind = prompts.schema[key].dataType.simpleString()
 
+    def answered(some: list[str]) -> list[str | None]:
+        try:
+            got = list(model(some))
+            if len(got) == len(some):
+                return got
+        except Exception:  # noqa: BLE001 - one bad answer must not end the job
+            pass
+        return [a for p in some for a in answered([p])] if len(some) > 1 else [None] * len(some)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            try:
-                answers = list(model(b[prompt].tolist()))
-            except Exception:  # noqa: BLE001 - one bad answer must not end the job
-                answers = [None] * len(b)
+            answers = answered(b[prompt].tolist())
             yield pd.DataFrame({"key": b[key], "answer": answers})
 
     return prompts.select(key, prompt).mapInPandas(run, f"key {kind}, answer string")

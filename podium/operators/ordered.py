@@ -17,15 +17,24 @@ def _chunked(df: DataFrame, order: str, width: int) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.coalesce(F.col(order), F.lit(-1)) / width))
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, width: int = WIDTH) -> DataFrame:
-    """Adds the sum of value over the rows of the keys up to and with this one, by order[0], then the rest."""
+def _running(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, fold, both, width: int) -> DataFrame:
     rows = _chunked(df.withColumn("_v", value), order[0], width)
     inner = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    inside = rows.withColumn("_s", F.sum("_v").over(inner))
-    per = rows.groupBy(*keys, "_chunk").agg(F.sum("_v").alias("_t"))
+    inside = rows.withColumn("_s", fold("_v").over(inner))
+    per = rows.groupBy(*keys, "_chunk").agg(fold("_v").alias("_t"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.withColumn("_c", F.coalesce(F.sum("_t").over(earlier), F.lit(0))).drop("_t")
-    return inside.join(carry, [*keys, "_chunk"]).withColumn(name, F.col("_s") + F.col("_c")).drop("_v", "_s", "_c", "_chunk")
+    carry = per.withColumn("_c", fold("_t").over(earlier)).drop("_t")
+    return inside.join(carry, [*keys, "_chunk"]).withColumn(name, both(F.col("_s"), F.col("_c"))).drop("_v", "_s", "_c", "_chunk")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, width: int = WIDTH) -> DataFrame:
+    """Adds the sum of value over the rows of the keys up to and with this one, by order[0], then the rest."""
+    return _running(df, keys, order, value, name, F.sum, lambda s, c: s + F.coalesce(c, F.lit(0)), width)
+
+
+def running_max(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, width: int = WIDTH) -> DataFrame:
+    """Adds the greatest value of the rows of the keys up to and with this one."""
+    return _running(df, keys, order, value, name, F.max, F.greatest, width)
 
 
 def dense_index(df: DataFrame, keys: list[str], order: str, name: str, tie: str, width: int = WIDTH) -> DataFrame:

@@ -16,8 +16,9 @@ BLOCK = 1024
 
 
 def similar_pairs(df: DataFrame, group: str, key: str, vector: str, least: float, block: int = BLOCK) -> DataFrame:
-    """(g, a, b) with a < b: pairs of one group whose cosine is at least `least`."""
-    rows = df.select(F.col(group).cast("string").alias("g"), F.col(key).cast("bigint").alias("id"), F.col(vector).alias("v")).where("g is not null and id is not null and v is not null")
+    """(g, a, b) with a < b: pairs of one group whose cosine is at least `least`; keys of any kind that can be ordered."""
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(F.col(group).cast("string").alias("g"), F.col(key).alias("id"), F.col(vector).alias("v")).where("g is not null and id is not null and v is not null")
     rows = rows.where(F.exists("v", lambda x: x != 0))
     sizes = rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).alias("n"))
     placed = rows.join(sizes, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")))
@@ -26,7 +27,7 @@ def similar_pairs(df: DataFrame, group: str, key: str, vector: str, least: float
 
     def compare(t: pa.Table) -> pa.Table:
         vs = t.column("v").to_pylist()
-        ids, own = np.array(t.column("id")), np.array(t.column("own"))
+        ids, own = np.array(t.column("id").to_pylist(), object), np.array(t.column("own"))
         ok = np.array([len(v) == len(vs[0]) and None not in v for v in vs])
         x = np.array([v for v, k in zip(vs, ok, strict=True) if k], float).reshape(ok.sum(), -1)
         ids, own = ids[ok], own[ok]
@@ -37,9 +38,10 @@ def similar_pairs(df: DataFrame, group: str, key: str, vector: str, least: float
         a, b = ids[left[i]], ids[right[j]]
         keep = a < b if row == col else np.ones(len(a), bool)
         a, b = np.minimum(a, b)[keep], np.maximum(a, b)[keep]
-        return pa.table({"g": pa.array([t.column("g")[0].as_py()] * len(a), pa.string()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        typed = t.column("id").type
+        return pa.table({"g": pa.array([t.column("g")[0].as_py()] * len(a), pa.string()), "a": pa.array(a.tolist(), typed), "b": pa.array(b.tolist(), typed)})
 
-    return cells.groupBy("g", "row", "col").applyInArrow(compare, "g string, a bigint, b bigint")
+    return cells.groupBy("g", "row", "col").applyInArrow(compare, f"g string, a {kind}, b {kind}")
 
 
 def query_scores(queries: DataFrame, base: DataFrame, least: float, best_only: bool = False, block: int = BLOCK, width: int = 16 * BLOCK) -> DataFrame:

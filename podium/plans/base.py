@@ -8,7 +8,7 @@ segments from 0 in arrival order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from podium.functions.labels import speaker_number
@@ -17,13 +17,15 @@ from podium.sources.tables import millis, table
 
 
 def first_delivery(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row a key: the least by the order columns, then by all columns that can be compared."""
-    rest = [c for c in df.columns if c not in keys]
+    """One row a key: the least by the order columns.
+
+    A window of which the first row is kept: the limit is applied before the shuffle too, so a key that is
+    delivered very often costs one row a task, and columns that a query does not use are not read.
+    """
     rows = df
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    packed = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-    return packed.select(*keys, "_r.*")
+    return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_place = 1").drop("_place")
 
 
 def label_of(column: str = "speaker_label") -> Column:
@@ -83,6 +85,42 @@ map3 AS (SELECT *, CASE WHEN no IS NOT NULL THEN 'SPEAKER_' || lpad(CAST(no AS V
 map AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id, label ORDER BY mapping_id) AS rk FROM map3) WHERE rk = 1)"""
 
 
+def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(meeting_id, home): the roster of a meeting's city and body, the least of several."""
+    key = lambda c: F.lower(F.trim(F.col(c))).alias(c)
+    rosters = table(spark, sf_dir, "roster").select(key("city"), key("body"), "roster_id").groupBy("city", "body").agg(F.min("roster_id").alias("home"))
+    return meetings(spark, sf_dir).select("meeting_id", key("city"), key("body")).join(rosters, ["city", "body"]).select("meeting_id", "home")
+
+
+def with_bodies(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Adds roster_id to rows of meetings: their own one, where they have such a column and it is not null, else the meeting's."""
+    own = F.col("own") if "own" in df.columns else F.lit(None).cast("int")
+    return df.join(homes(spark, sf_dir), "meeting_id", "left").withColumn("roster_id", F.coalesce(own, "home")).drop("own", "home")
+
+
+HOMES = """ci AS (SELECT lower(trim(city)) AS city, lower(trim(body)) AS body, min(roster_id) AS roster_id FROM roster GROUP BY 1, 2),
+home AS (SELECT meeting_id, roster_id FROM meet JOIN ci ON lower(trim(meet.city)) = ci.city AND lower(trim(meet.body)) = ci.body)"""
+BODIES = HOMES + ", mapb AS (SELECT map.* EXCLUDE (roster_id), coalesce(map.roster_id, home.roster_id) AS roster_id FROM map LEFT JOIN home ON home.meeting_id = map.meeting_id)"
+
+
+def voices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(meeting_id, label, ord, v): the voice of each speaker of a meeting.
+
+    No table holds what a diariser would deliver, so each speaker is given the first embedding of a
+    profile, chosen by a digest of meeting and label; whose profile has none has no voice.
+    """
+    p = profiles(spark, sf_dir).select("ord", F.get("embeddings", F.lit(0)).alias("v"))
+    n = table(spark, sf_dir, "profiles").agg(F.max("ord")).first()[0] or 1
+    labels = segments(spark, sf_dir, indexed=False).select("meeting_id", "label").distinct()
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", "meeting_id", "label")), 1, 7), 16, 10).cast("bigint")
+    some = labels.withColumn("ord", (digest % n + 1).cast("int"))
+    return some.join(p.where((F.size("v") == 64) & F.exists("v", lambda x: x != 0)), "ord").select("meeting_id", "label", "ord", "v")
+
+
+VOICES = """vo AS (SELECT DISTINCT meeting_id, label, CAST(CAST('0x' || substr(md5(meeting_id || '|' || label), 1, 7) AS BIGINT) % (SELECT max(ord) FROM profiles) + 1 AS INTEGER) AS ord FROM seg),
+voice AS (SELECT meeting_id, label, vo.ord, embeddings[1] AS v FROM vo JOIN prof ON prof.ord = vo.ord WHERE len(embeddings[1]) = 64 AND list_max(list_transform(embeddings[1], lambda x: abs(x))) > 0)"""
+
+
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "sections").where("meeting_id is not null and pos is not null")
     return t.groupBy("meeting_id", "pos").agg(*[F.min(c).alias(c) for c in ("type", "start_segment", "end_segment", "title", "content", "start_time", "end_time")])

@@ -10,6 +10,7 @@ from podium.operators.ordered import running_sum
 from podium.operators.overlap import overlapping
 from podium.plans import base as B
 from podium.plans.sequences import display_name, ordered_text, present
+from podium.sources.tables import longest, table
 
 #: Shares of a caption that a segment must cover to take all of it, or a part of its words (fixed values).
 WHOLE, PART, LINE = 0.5, 0.2, 80
@@ -19,6 +20,10 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
+def _longest(spark: SparkSession, sf_dir: str) -> int:
+    return max(longest(table(spark, sf_dir, "segments"), ("start_time", "end_time")), longest(table(spark, sf_dir, "cues"), ("start", "end")))
+
+
 def caption_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each segment's text from the captions it covers, in caption order; without any it keeps its own.
 
@@ -27,7 +32,7 @@ def caption_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     seg = B.segments(spark, sf_dir, indexed=False).select("meeting_id", "segment_id", F.col("start_ms").alias("l_start"), F.col("end_ms").alias("l_end"), F.col("text").alias("own"))
     cues = B.cues(spark, sf_dir).select("meeting_id", "pos", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"), F.trim("text").alias("cue")).where("cue <> ''")
-    both = overlapping(seg, cues, "meeting_id")
+    both = overlapping(seg, cues, "meeting_id", longest=_longest(spark, sf_dir))
     share = (F.least("l_end", "r_end") - F.greatest("l_start", "r_start")) / (F.col("r_end") - F.col("r_start"))
     w = _words(F.col("cue"))
     k = F.greatest(F.lit(1), F.floor(F.size(w) * share)).cast("int")
@@ -64,7 +69,7 @@ def overlap_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How long each segment and each caption of its meeting overlap."""
     seg = B.segments(spark, sf_dir, indexed=False).select("meeting_id", "segment_id", F.col("start_ms").alias("l_start"), F.col("end_ms").alias("l_end"))
     cues = B.cues(spark, sf_dir).select("meeting_id", "pos", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
-    return overlapping(seg, cues, "meeting_id").select("meeting_id", "segment_id", "pos", (F.least("l_end", "r_end") - F.greatest("l_start", "r_start")).alias("overlap_ms"))
+    return overlapping(seg, cues, "meeting_id", longest=_longest(spark, sf_dir)).select("meeting_id", "segment_id", "pos", (F.least("l_end", "r_end") - F.greatest("l_start", "r_start")).alias("overlap_ms"))
 
 
 OVERLAP_SQL = f"WITH {B.SEG}, {B.CUES} SELECT s.meeting_id, segment_id, c.pos, least(s.end_ms, c.end_ms) - greatest(s.start_ms, c.start_ms) AS overlap_ms FROM seg s JOIN cue c ON s.meeting_id = c.meeting_id AND s.start_ms < c.end_ms AND c.start_ms < s.end_ms AND s.end_ms > s.start_ms AND c.end_ms > c.start_ms"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from podium.functions import text as T
 from podium.plans import base as B
-from podium.plans.people import _CASCADE, LLM, VOICE, cascade, named_mappings, slug_of
+from podium.plans.people import LLM, VOICE, _cascade_sql, cascade, named_mappings, slug_of
 from podium.plans.sequences import present
 from podium.sources import formats as S
 from podium.sources.tables import table
@@ -97,14 +97,14 @@ BATCH_SQL = f"""WITH {B.MEET}, k AS (SELECT *, length(meeting_id) % 4 AS k FROM
 
 
 def batch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated entries whose meeting is not identified yet; here a meeting is, if it has a mapping for review."""
+    """Dated entries whose meeting is not identified yet; here a meeting is, if someone has named a speaker of it by hand."""
     entries = batch_entries(spark, sf_dir)
-    done = named_mappings(spark, sf_dir).where("mapping_id % 3 = 0").select("meeting_id").distinct()
+    done = named_mappings(spark, sf_dir).where("method = 'manual'").select("meeting_id").distinct()
     left = entries.join(done.withColumn("done", F.lit(True)), "meeting_id", "left")
     return left.where("date = '' or done is null").select("meeting_id", "input", "date")
 
 
-RESUME_SQL = f"WITH {B.MAPS}, e AS ({BATCH_SQL}) SELECT meeting_id, input, date FROM e WHERE date = '' OR NOT EXISTS (SELECT 1 FROM map m WHERE m.meeting_id = e.meeting_id AND mapping_id % 3 = 0)"
+RESUME_SQL = f"WITH {B.MAPS}, e AS ({BATCH_SQL}) SELECT meeting_id, input, date FROM e WHERE date = '' OR NOT EXISTS (SELECT 1 FROM map m WHERE m.meeting_id = e.meeting_id AND id_method = 'manual')"
 
 
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +187,7 @@ def identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("meeting_id").agg(F.sum("n").alias("segments"), F.sum(F.when(F.col("name").isNotNull(), F.col("n")).otherwise(0)).alias("named"), F.count_if("needs_review").alias("to_review"), F.count_if(F.col("confidence") == LLM).alias("at_model_confidence"))
 
 
-IDENTIFICATION_SQL = f"""WITH {_CASCADE}, n AS (SELECT meeting_id, label, count(*) AS n FROM seg GROUP BY 1, 2)
+IDENTIFICATION_SQL = f"""WITH {_cascade_sql()}, n AS (SELECT meeting_id, label, count(*) AS n FROM seg GROUP BY 1, 2)
 SELECT meeting_id, CAST(sum(n) AS BIGINT) AS segments, CAST(sum(CASE WHEN name IS NOT NULL THEN n ELSE 0 END) AS BIGINT) AS named, count(*) FILTER (needs_review) AS to_review, count(*) FILTER (confidence = {LLM}) AS at_model_confidence FROM n LEFT JOIN casc USING (meeting_id, label) GROUP BY 1"""
 
 QUERIES = {

@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 
 from podium.functions.labels import speaker_number
 from podium.operators.periods import periods_and_gaps
-from podium.sources.tables import millis, once, table
+from podium.sources.tables import longest, millis, once, table
+
+#: Segment ids that come together before their containers are built.
+BLOCK = 512
 
 
 def speaker_periods(segments: DataFrame) -> DataFrame:
-    """(g meeting, e speaker number, kind, s, t, n) over segments, repeats of a key counted once."""
-    rows = once(segments, ["meeting_id", "segment_id"], no=speaker_number("speaker_label"), start_ms=millis("start_time"), end_ms=millis("end_time"))
-    return periods_and_gaps(rows, F.col("meeting_id"), F.col("no"), F.col("start_ms"), F.col("end_ms"))
+    """(g meeting, e speaker number, kind, s, t, n) over segments, repeats of a key counted once.
+
+    Rows come together by blocks of segment ids, so that the containers built from them hold what is near in time.
+    """
+    near = segments.withColumn("block", F.floor(F.col("segment_id") / BLOCK)).repartition("meeting_id", "block")
+    rows = once(near, ["meeting_id", "block", "segment_id"], no=speaker_number("speaker_label"), start_ms=millis("start_time"), end_ms=millis("end_time"))
+    return periods_and_gaps(rows, F.col("meeting_id"), F.col("no"), F.col("start_ms"), F.col("end_ms"), longest=longest(segments, ("start_time", "end_time")))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

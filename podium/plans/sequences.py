@@ -34,8 +34,8 @@ def merge_turns(seg: DataFrame, gap: int, key: Column) -> DataFrame:
 def turn_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw turns: the merged end is the last row's, which may lie before an earlier one's."""
     rows = merge_turns(B.segments(spark, sf_dir), TURN_GAP, F.col("label"))
-    return rows.groupBy("meeting_id", "island").agg(
-        F.min_by("label", "idx").alias("label"), F.min_by("start_ms", "idx").alias("start_ms"), F.max_by("end_ms", "idx").alias("end_ms"), F.count(F.lit(1)).alias("n")
+    return rows.groupBy("meeting_id", "island", "label").agg(
+        F.min_by("start_ms", "idx").alias("start_ms"), F.max_by("end_ms", "idx").alias("end_ms"), F.count(F.lit(1)).alias("n")
     ).withColumn("turn_id", F.col("island") - 1).drop("island")
 
 
@@ -71,17 +71,21 @@ FROM i JOIN l USING (meeting_id, island) GROUP BY meeting_id, island"""
 
 
 def section_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Neighbouring sections of one type, at most two segments apart; the longest title, the first of equals."""
+    """Neighbouring sections of one type, at most two segments apart; the longest title, the first of equals.
+
+    Only in meetings of more segments than a chunk holds, as only these were classified in several chunks.
+    """
+    big = B.segments(spark, sf_dir, indexed=False).groupBy("meeting_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK).select("meeting_id", F.lit(True).alias("big"))
     s = dense_index(B.sections(spark, sf_dir), ["meeting_id"], "pos", "idx", tie="pos")
-    rows = with_previous(s, ["meeting_id"], "idx", ["type", "end_segment"])
-    starts = (F.col("type") != F.col("prev_type")) | (F.col("start_segment") > F.col("prev_end_segment") + SECTION_SLACK)
+    rows = with_previous(s, ["meeting_id"], "idx", ["type", "end_segment"]).join(big, "meeting_id", "left")
+    starts = F.col("big").isNull() | (F.col("type") != F.col("prev_type")) | (F.col("start_segment") > F.col("prev_end_segment") + SECTION_SLACK)
     out = islands(rows, ["meeting_id"], "idx", starts)
     title = F.max_by("title", F.struct(F.char_length(F.coalesce("title", F.lit(""))), -F.col("idx")))
     return out.groupBy("meeting_id", "island").agg(F.min_by("type", "idx").alias("type"), F.min_by("start_segment", "idx").alias("start_segment"), F.max_by("end_segment", "idx").alias("end_segment"), title.alias("title"))
 
 
-SECTION_SQL = f"""WITH {B.SECT}, p AS (SELECT *, lag(type) OVER w AS pt, lag(end_segment) OVER w AS pe FROM sect WINDOW w AS (PARTITION BY meeting_id ORDER BY pos)),
-i AS (SELECT *, sum(CASE WHEN pt = type AND start_segment <= pe + {SECTION_SLACK} THEN 0 ELSE 1 END) OVER (PARTITION BY meeting_id ORDER BY pos) AS island FROM p)
+SECTION_SQL = f"""WITH {B.SEG}, {B.SECT}, p AS (SELECT *, meeting_id IN (SELECT meeting_id FROM seg GROUP BY 1 HAVING count(*) > {CHUNK}) AS big, lag(type) OVER w AS pt, lag(end_segment) OVER w AS pe FROM sect WINDOW w AS (PARTITION BY meeting_id ORDER BY pos)),
+i AS (SELECT *, sum(CASE WHEN big AND pt = type AND start_segment <= pe + {SECTION_SLACK} THEN 0 ELSE 1 END) OVER (PARTITION BY meeting_id ORDER BY pos) AS island FROM p)
 SELECT meeting_id, CAST(island AS BIGINT) AS island, first(type ORDER BY pos) AS type, first(start_segment ORDER BY pos) AS start_segment, last(end_segment ORDER BY pos) AS end_segment, first(title ORDER BY length(coalesce(title, '')) DESC, pos) AS title FROM i GROUP BY 1, 2"""
 
 
@@ -133,12 +137,13 @@ def speaker_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The sample is the segment at a third of those with text, else of all.
     """
-    seg = B.segments(spark, sf_dir).select("meeting_id", "label", "segment_id", "idx", "start_ms", "end_ms", "text")
+    seg = B.segments(spark, sf_dir, indexed=False).select("meeting_id", "label", "segment_id", "pos", "start_ms", "end_ms", "text")
+    seq = F.shiftleft(F.coalesce("pos", F.lit(-1)).cast("bigint"), 32) + F.col("segment_id")  # arrival order in one number
     spoken = F.coalesce(F.trim(F.regexp_replace("text", r"\s+", " ")) != "", F.lit(False))
     keys = ["meeting_id", "label"]
-    rows = dense_index(seg.withColumn("has_text", spoken), [*keys, "has_text"], "idx", "k", tie="segment_id")
+    rows = dense_index(seg.withColumns({"has_text": spoken, "seq": seq}).drop("text"), [*keys, "has_text"], "pos", "k", tie="segment_id")
     per = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("seg_count"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("speech_ms"), F.min("idx").alias("first_idx"), F.min_by("segment_id", "idx").alias("first_segment"), F.count_if("has_text").alias("n_text")
+        F.count(F.lit(1)).alias("seg_count"), F.sum(F.col("end_ms") - F.col("start_ms")).alias("speech_ms"), F.min("seq").alias("first_seq"), F.min_by("segment_id", "seq").alias("first_segment"), F.count_if("has_text").alias("n_text")
     )
     n = F.when(F.col("n_text") > 0, F.col("n_text")).otherwise(F.col("seg_count"))
     at = F.greatest(F.lit(0), F.floor(n / 3) - 1)
@@ -146,7 +151,7 @@ def speaker_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = rows.join(wanted, [*keys, "has_text", "k"]).select(*keys, F.col("segment_id").alias("sample_segment"))
     # A meeting's speakers are few: one small window orders them.
     ranked = per.join(sample, keys)
-    w = Window.partitionBy("meeting_id").orderBy(F.desc("speech_ms"), "first_idx")
+    w = Window.partitionBy("meeting_id").orderBy(F.desc("speech_ms"), "first_seq")
     return ranked.withColumn("speech_rank", F.row_number().over(w)).select(*keys, "seg_count", "speech_ms", "first_segment", "sample_segment", "speech_rank")
 
 

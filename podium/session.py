@@ -25,12 +25,14 @@ def local_session(cores: str = "*", app: str = "podium", memory: str = "8g") ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    """The folder in spark.checkpoint.dir; where none is set, a temporary one in local mode and an error on a cluster."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="podium-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()
 

@@ -37,11 +37,17 @@ def once(df: DataFrame, keys: list[str], **columns: Column) -> DataFrame:
     return kept.groupBy(*keys).agg(*[F.min(n).alias(n) for n in columns])
 
 
-#: Seconds into a recording from which on a time is taken for none: three years.
-LONGEST = 1.0e8
+#: From 2^53 milliseconds on (285,000 years) a double no longer holds whole milliseconds.
+_INEXACT = 2.0**53 / 1000
 
 
 def millis(seconds: Column | str) -> Column:
-    """Seconds to whole milliseconds; null for NaN, infinities and times no recording reaches (LONGEST)."""
+    """Seconds to whole milliseconds; null for NaN, infinities and what a double cannot hold to the millisecond."""
     s = F.col(seconds) if isinstance(seconds, str) else seconds
-    return F.when(F.abs(s) < LONGEST, F.round(s * 1000).cast("bigint"))
+    return F.when(F.abs(s) < _INEXACT, F.round(s * 1000).cast("bigint"))
+
+
+def longest(df: DataFrame, *times: tuple[str, str]) -> int:
+    """The most milliseconds from a start to its end, by one pass over the two columns, without a shuffle."""
+    spans = [F.max(millis(t) - millis(s)).alias(f"m{i}") for i, (s, t) in enumerate(times)]
+    return max((x for x in df.agg(*spans).first() if x is not None), default=0)

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,8 +24,8 @@ def test_speaker_number(spark):
 def test_times_that_are_none(spark):
     from podium.sources.tables import millis
 
-    df = spark.createDataFrame([(1.2345,), (float("nan"),), (float("inf"),), (-3.0,), (1e18,), (None,), (0.0,)], "s double")
-    assert [r.m for r in df.select(millis("s").alias("m")).collect()][1:] == [None, None, -3000, None, None, 0]
+    df = spark.createDataFrame([(1.2345,), (float("nan"),), (float("inf"),), (-3.0,), (1e18,), (None,), (0.0,), (1_700_000_000.25,)], "s double")
+    assert [r.m for r in df.select(millis("s").alias("m")).collect()][1:] == [None, None, -3000, None, None, 0, 1_700_000_000_250]
 
 
 def brute_periods(rows):
@@ -56,6 +57,22 @@ def test_periods_against_brute_force(spark, shard):
     assert periods_and_gaps(df.limit(0), F.col("g"), F.col("e"), F.col("s"), F.col("t")).count() == 0
 
 
+def test_periods_of_intervals_of_all_lengths(spark):
+    r = random.Random(12)
+    rows = [("m", r.choice([1, 2, 3]), s := r.randrange(-10**6, 10**7), s + r.choice([3, 40, 3000, 10**4, 3 * 10**6])) for _ in range(300)] + [("m", 1, 1_700_000_000_000, 1_700_000_005_000), ("m", 3, -5, 1_700_000_000_000)]
+    df = spark.createDataFrame(rows, "g string, e int, s bigint, t bigint")
+    got = periods_and_gaps(df, F.col("g"), F.col("e"), F.col("s"), F.col("t"), 10_000).collect()
+    assert len(got) == len({tuple(x) for x in got}) and {tuple(x) for x in got} == brute_periods(rows)
+
+
+def test_containers_come_back():
+    from podium.operators.periods import decode, encode
+
+    s, t, n = np.array([105, 120, 7, 9]), np.array([110, 130, 8, 19]), np.array([1, 2, 0, 3])
+    coded = encode(s, t, n, np.array([0, 2, 4]), np.array([100, 0]))
+    assert [x.tolist() for x in decode(coded.to_pylist(), np.array([100, 0]))] == [[0, 0, 1, 1], s.tolist(), t.tolist(), n.tolist()]
+
+
 def test_ordered_operators_across_chunks(spark):
     n = 50
     df = spark.createDataFrame([(k, i * 3, (i * 7) % 5) for k in ("a", "b") for i in range(n)], "k string, pos int, v int")
@@ -101,6 +118,17 @@ def test_overlaps_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_overlaps_of_intervals_of_all_lengths(spark):
+    r = random.Random(2)
+    span = lambda i: ("m", i, s := r.randrange(10**7), s + r.choice([100, 5000, 9 * 10**4, 3 * 10**6, 10**9]))
+    a, b = [span(i) for i in range(60)], [span(i) for i in range(60)]
+    left = spark.createDataFrame(a, "m string, i int, l_start bigint, l_end bigint")
+    right = spark.createDataFrame(b, "m string, j int, r_start bigint, r_end bigint")
+    got = [(x.i, x.j) for x in overlapping(left, right, "m", bucket=500).collect()]
+    want = {(x[1], y[1]) for x in a for y in b if x[2] < y[3] and y[2] < x[3]}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_components_against_union_find(spark):
     r = random.Random(2)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(40)] + [(5, 5)]
@@ -164,6 +192,13 @@ def test_models_answer_in_batches_and_in_order(spark):
         raise ValueError
 
     assert all(r.answer is None for r in ask(prompts, "k", "p", broken).collect())
+
+    def poisoned(ps):
+        if "b" in ps:
+            raise ValueError
+        return ps
+
+    assert {r.key: r.answer for r in ask(prompts, "k", "p", poisoned).collect()} == {1: "a", 2: None, 3: "c"}
     rows = spark.createDataFrame([("m", i, f"q{i}") for i in (2, 0, 1)], "m string, o bigint, p string")
     got = ask_in_order(rows, "m", "o", "p", lambda p, known: f"{p}:{len(known)}").orderBy("ord").collect()
     assert [r.answer for r in got] == ["q0:0", "q1:1", "q2:2"]

@@ -54,6 +54,12 @@ def test_store_is_swapped(spark, tmp_path):
     assert sorted(r.completed_stage for r in store.load_state(spark, path).collect()) == [2, 5]
     assert [r.meeting_id for r in store.is_complete(store.load_state(spark, path), "identified").collect()] == ["m"]
     assert [p.name for p in tmp_path.iterdir()] == ["store"]
+    before = store.load_state(spark, path)
+    store.mark_complete(spark, path, spark.createDataFrame([("n",), ("new",)], "meeting_id string"), "exported")
+    assert before.where("meeting_id = 'new'").count() == 0
+    store.update_progress(spark, path, spark.createDataFrame([("m", 7, 8)], "meeting_id string, transcription_progress int, total_segments int"))
+    assert sorted(tuple(r) for r in store.load_state(spark, path).collect()) == [("m", 5, 7, 8), ("n", 7, 5, 9), ("new", 7, 0, 0)]
+    assert len(list((tmp_path / "store").glob("v-*"))) == 2
 
 
 def test_exports(spark, tmp_path):
