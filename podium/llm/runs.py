@@ -30,32 +30,7 @@ _SCHEMA = "g string, chunk bigint, v int, a bigint, b bigint, a_id int, b_id int
 _ARROW = pa.schema([("g", pa.string()), ("chunk", pa.int64()), ("v", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("a_id", pa.int32()), ("b_id", pa.int32()), ("n", pa.int64()), ("s", pa.int64()), ("t", pa.int64()), ("edge", pa.bool_())])
 
 
-def isotonic(y: np.ndarray) -> np.ndarray:
-    """The nearest non-decreasing sequence in least squares, by pooling adjacent violators."""
-    if len(y) < 2 or (y[1:] >= y[:-1]).all():
-        return y
-    means, sizes = [], []
-    for value in y.astype(np.float64):
-        mean, size = value, 1
-        while means and means[-1] > mean:
-            m, n = means.pop(), sizes.pop()
-            mean, size = (m * n + mean * size) / (n + size), n + size
-        means.append(mean)
-        sizes.append(size)
-    return np.rint(np.repeat(means, sizes)).astype(np.int64)
-
-
-def _repaired(s: np.ndarray, t: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Ends in the order of starts: missing ones from the next start, then isotonic in each stretch."""
-    at = np.append(np.flatnonzero(begins), len(s))
-    following = np.append(s[1:], s[-1:])
-    following[at[1:] - 1] = s[at[1:] - 1]
-    t = np.where(t > s, t, following)
-    fitted = np.concatenate([isotonic(t[lo:hi]) for lo, hi in zip(at[:-1], at[1:], strict=True)])
-    return np.maximum(fitted, s)
-
-
-def _collapse(final: bool, chunk: int, text: bool = False, repair: bool = False):
+def _collapse(final: bool, chunk: int, text: bool = False):
     """Runs of each (g, chunk); rows come sorted by chunk, time and id, and may be runs themselves."""
     schema = _ARROW.append(pa.field("text", pa.string())) if text else _ARROW
 
@@ -79,8 +54,6 @@ def _collapse(final: bool, chunk: int, text: bool = False, repair: bool = False)
         head = begins[where]
         edge = np.zeros(len(where), bool) if final else head | np.append(head[1:], True)
         t = numbers(work, "t")
-        if repair:
-            t = _repaired(numbers(work, "s"), t, begins)
         columns = {
             "g": key["g"], "chunk": key["chunk"], "v": v[where], "a": numbers(work, "a")[where], "b": numbers(work, "b")[last],
             "a_id": numbers(work, "a_id")[where], "b_id": numbers(work, "b_id")[last], "n": n,
@@ -94,19 +67,19 @@ def _collapse(final: bool, chunk: int, text: bool = False, repair: bool = False)
     return fn
 
 
-def collapse_runs(df: DataFrame, entity: Column, event_id: Column, value: Column, start: Column, end: Column, chunk: int = CHUNK_MS, text: Column | None = None, repair: bool = False) -> DataFrame:
+def collapse_runs(df: DataFrame, entity: Column, event_id: Column, value: Column, start: Column, end: Column, chunk: int = CHUNK_MS, text: Column | None = None, shown: Column | None = None) -> DataFrame:
     """(g, v, first_id, last_id, n, start, end): the maximal runs of equal value of each entity by start.
 
-    With text, also the events' texts in order, joined by spaces. With repair, ends that are missing
-    or out of order are first repaired by isotonic regression within each chunk.
+    With text, also the events' texts in order, joined by spaces. shown is the start that is reported,
+    where it is not the one that orders the events.
     """
     said, more = ([], "") if text is None else (["text"], ", text string")
-    events = df.select(*([] if text is None else [text.alias("text")]), entity.alias("g"), event_id.cast("int").alias("id"), value.cast("int").alias("v"), start.cast("bigint").alias("s"), end.cast("bigint").alias("t")).where("g is not null and id is not null and s is not null")
+    events = df.select(*([] if text is None else [text.alias("text")]), entity.alias("g"), event_id.cast("int").alias("id"), value.cast("int").alias("v"), start.cast("bigint").alias("a"), (start if shown is None else shown).cast("bigint").alias("s"), end.cast("bigint").alias("t")).where("g is not null and id is not null and a is not null")
     rows = events.select(
-        "g", F.floor(F.col("s") / chunk).alias("chunk"), F.coalesce("v", F.lit(_NONE)).alias("v"), F.col("s").alias("a"), F.col("s").alias("b"),
+        "g", F.floor(F.col("a") / chunk).alias("chunk"), F.coalesce("v", F.lit(_NONE)).alias("v"), "a", F.col("a").alias("b"),
         F.col("id").alias("a_id"), F.col("id").alias("b_id"), F.lit(1).cast("bigint").alias("n"), "s", F.greatest("s", F.coalesce("t", "s")).alias("t"), F.lit(True).alias("edge"), *said,
     )
-    local = map_groups(rows, ["g", "chunk"], ["a", "a_id"], _collapse(False, chunk, bool(said), repair), _SCHEMA + more)
+    local = map_groups(rows, ["g", "chunk"], ["a", "a_id"], _collapse(False, chunk, bool(said)), _SCHEMA + more)
     # Finished runs ride along in their chunk, so that Python runs once; edges meet by entity.
     to = local.withColumn("chunk", F.when(F.col("edge"), F.lit(-1)).otherwise(F.col("chunk")))
     whole = map_groups(to, ["g", "chunk"], ["a", "a_id"], _collapse(True, chunk, bool(said)), _SCHEMA + more)

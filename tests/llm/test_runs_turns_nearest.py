@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from podium.llm.nearest import XFastTrie, nearest
-from podium.llm.runs import collapse_runs, isotonic
+from podium.llm.clocks import isotonic, offsets, repaired
+from podium.llm.runs import collapse_runs
 from podium.llm.turns import clean_utterance, opening_number, speaker_turns, spoken
 
 
@@ -43,11 +44,51 @@ def test_texts_of_runs_stay_in_order(spark):
 
 
 def test_isotonic_is_the_nearest_monotone_sequence():
-    assert isotonic(np.array([1, 3, 2, 4])).tolist() == [1, 2, 2, 4]
+    assert isotonic(np.array([1, 3, 2, 4])).tolist() == [1, 3, 3, 4]
     y = np.array([5, 1, 9, 3, 3, 20])
     z = isotonic(y)
     assert (np.diff(z) >= 0).all() and abs(z.sum() - y.sum()) <= 3
     assert isotonic(np.array([], int)).tolist() == []
+    r = random.Random(3)
+    for _ in range(200):
+        y = np.array([r.randrange(30) for _ in range(r.randrange(1, 9))])
+        fit = [max(min(y[a : b + 1].mean() for b in range(i, len(y))) for a in range(i + 1)) for i in range(len(y))]
+        assert isotonic(y).tolist() == [int(np.floor(f + 0.5)) for f in fit]
+
+
+def test_clocks_are_repaired_in_bins_as_in_one_piece(spark):
+    r = random.Random(9)
+    rows, clock = [], 0
+    for i in range(600):
+        if i == 350:
+            clock = 5  # the second file
+        clock += r.randrange(30)
+        rows.append(("m", 1000 - i, i, max(0, clock - r.choice([0, 0, 0, 15, 40]))))
+    rows += [("m", 2000, 601, 777), ("m", 2001, 602, 30), ("n", 1, None, 5), (None, 1, 1, 1), ("n", 2, 1, None)]
+    df = spark.createDataFrame([(*x, "x") for x in rows], "g string, id int, pos int, s bigint, fit string")
+    for width in (300, 10**6):
+        got = {(x.g, x.id): (x.file, x.fit) for x in repaired(df, late=50, fresh=60, pause=100, width=width).collect()}
+        want = {("n", 1): (0, 5)}
+        for file, part in enumerate((rows[:350], rows[350:602])):
+            top, kept = 0, []
+            for _, i, _, s in part:
+                top = max(top, s)
+                if s < top - 50:
+                    want["m", i] = (file, s)
+                else:
+                    kept.append((i, s))
+            want |= {("m", i): (file, int(f)) for (i, _), f in zip(kept, isotonic(np.array([s for _, s in kept])), strict=True)}
+        assert got == want
+    placed = offsets(spark.createDataFrame([("m", 0, 70), ("m", 0, 90), ("m", 1, 40), ("m", 2, 5)], "g string, file bigint, t bigint")).collect()
+    assert {x.file: x.offset for x in placed} == {0: 0, 1: 90, 2: 130}
+
+
+def test_a_clock_that_starts_anew_orders_turns_by_file(spark):
+    at = [(1, 10.0), (1, 4000.0), (1, 4010.0), (2, 3.0), (2, 9.0), (1, 11.0), (1, 4005.0)]
+    rows = [("m", i, i, s, s + 1, f"SPEAKER_0{n}", "word", None) for i, (n, s) in enumerate(at)]
+    df = spark.createDataFrame(rows, "meeting_id string, pos int, segment_id int, start_time double, end_time double, speaker_label string, text string, speaker_name string")
+    got = [(x.v, x.first_id, x.last_id, x.start) for x in sorted(speaker_turns(df, clocks=True).collect(), key=lambda x: x.start)]
+    assert got == [(1, 0, 2, 10_000), (2, 3, 4, 4_014_000), (1, 5, 6, 4_022_000)]
 
 
 def test_trie_finds_neighbours():
@@ -83,7 +124,7 @@ def test_utterances(spark):
         "[00:01:02] >> Speaker 7 - Uh, we er, heard (coughs) you.": ("we heard you.", 7, True),
         "[gavel]": ("", None, False), "Uhm, er...": ("", None, False), "00:01:02.003 --> ♪ ♪": ("", None, False), "Aye.": ("Aye.", None, True), "SPEAKER_O3: [laughter]": ("", 3, False),
         "a. b. smith: {sighs}": ("a. b. smith:", None, False), "D. R. Jones: Present.": ("Present.", None, True), "[Speaker 12] Nay.": ("Nay.", 12, True), "Umbrella stands": ("Umbrella stands", None, True), "": ("", None, False), None: (None, None, False),
-        "e-er I-um yes": ("yes", None, True), "<00:00:01.000> <crosstalk> {sighs} uh": ("", None, False), "uh " * 20000: ("", None, False),
+        "e-er I-um yes": ("yes", None, True), "<00:00:01.000> <crosstalk> {sighs} uh": ("", None, False), "uh " * 20000: ("", None, False), "[music plays " + "on and on " * 30 + "]": ("", None, False), "(thank you)": ("(thank you)", None, True), "(long applause from the public gallery)": ("", None, False),
     }
     df = spark.createDataFrame([(k,) for k in said], "t string")
     rows = df.select("t", clean_utterance(F.col("t")).alias("c"), opening_number(F.col("t")).alias("n"), spoken(F.col("t")).alias("s")).collect()
