@@ -415,13 +415,18 @@ def soft_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOFT_SQL = f"WITH {_AGAINST} SELECT label, list(coalesce(display_name, slug) || '=' || printf('%.3f', round(score, 3)) ORDER BY round(score, 3) DESC, ord) AS hints FROM s WHERE score >= {SOFT} GROUP BY 1"
 
 
+def rounded(x: Column) -> Column:
+    """To six places, halves up: the same in every engine."""
+    return F.floor(x * 1e6 + 0.5) / 1e6
+
+
 def profile_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean of each profile's stored embeddings, summed by place; rounded for comparison."""
     p = B.profiles(spark, sf_dir).select("ord", F.explode("embeddings").alias("v")).where("size(v) > 0")
-    return mean_by(p, ["ord"], "v", "m").select("ord", F.transform("m", lambda x: F.round(x, 8)).alias("centroid"))
+    return mean_by(p, ["ord"], "v", "m").select("ord", F.transform("m", rounded).alias("centroid"))
 
 
-CENTROID_SQL = f"WITH {B.PROF}, v AS (SELECT ord, unnest(embeddings) AS v FROM prof), x AS (SELECT ord, generate_subscripts(v, 1) AS i, unnest(v) AS f FROM v WHERE len(v) > 0), m AS (SELECT ord, i, avg(f) AS m FROM x GROUP BY 1, 2) SELECT ord, list(round(m, 8) ORDER BY i) AS centroid FROM m GROUP BY 1"
+CENTROID_SQL = f"WITH {B.PROF}, v AS (SELECT ord, unnest(embeddings) AS v FROM prof), x AS (SELECT ord, generate_subscripts(v, 1) AS i, unnest(v) AS f FROM v WHERE len(v) > 0), m AS (SELECT ord, i, avg(f) AS m FROM x GROUP BY 1, 2) SELECT ord, list(floor(m * 1e6 + 0.5) / 1e6 ORDER BY i) AS centroid FROM m GROUP BY 1"
 
 def voice_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of speakers of one meeting whose voices are alike enough to be one."""
@@ -474,11 +479,11 @@ LOG_SQL = f"WITH RECURSIVE {_MERGED} SELECT meeting_id, string_agg(label, ' + '
 def merged_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unweighted mean of the voices that one speaker of a meeting stands for; single ones keep theirs."""
     rows = B.voices(spark, sf_dir).join(merged_speakers(spark, sf_dir), ["meeting_id", "label"])
-    return mean_by(rows, ["meeting_id", "representative"], "v", "m").select("meeting_id", "representative", F.transform("m", lambda x: F.round(x, 8)).alias("centroid"))
+    return mean_by(rows, ["meeting_id", "representative"], "v", "m").select("meeting_id", "representative", F.transform("m", rounded).alias("centroid"))
 
 
 MERGED_CENTROID_SQL = f"""WITH RECURSIVE {_MERGED}, x AS (SELECT mg.meeting_id, representative, generate_subscripts(v, 1) AS i, unnest(v) AS f FROM voice JOIN mg ON mg.meeting_id = voice.meeting_id AND mg.label = voice.label)
-SELECT meeting_id, representative, list(round(m, 8) ORDER BY i) AS centroid FROM (SELECT meeting_id, representative, i, avg(f) AS m FROM x GROUP BY 1, 2, 3) GROUP BY 1, 2"""
+SELECT meeting_id, representative, list(floor(m * 1e6 + 0.5) / 1e6 ORDER BY i) AS centroid FROM (SELECT meeting_id, representative, i, avg(f) AS m FROM x GROUP BY 1, 2, 3) GROUP BY 1, 2"""
 
 # -- Profiles ----------------------------------------------------------------------------------------
 
@@ -492,14 +497,14 @@ def upsert(rows: DataFrame) -> DataFrame:
     per = rows.groupBy("slug").agg(F.min_by("display_name", "ord").alias("display_name"), F.sum("segments").alias("segments"), F.sum(F.size("embeddings")).alias("n_embeddings"))
     seen = rows.select("slug", F.explode("meetings_seen").alias("m")).distinct().groupBy("slug").agg(F.count(F.lit(1)).alias("n_meetings"))
     vectors = rows.select("slug", F.explode("embeddings").alias("v")).where(f"size(v) = {DIM}")
-    centroid = mean_by(vectors, ["slug"], "v", "m").select("slug", F.transform("m", lambda x: F.round(x, 8)).alias("centroid"))
+    centroid = mean_by(vectors, ["slug"], "v", "m").select("slug", F.transform("m", rounded).alias("centroid"))
     return per.join(seen, "slug", "left").join(centroid, "slug", "left").select("slug", "display_name", "n_embeddings", F.coalesce("n_meetings", F.lit(0)).alias("n_meetings"), "segments", "centroid")
 
 
 def _upsert_sql(rows: str) -> str:
     """The same over the SQL of rows (slug, ord, display_name, es, ms, s)."""
     return f"""u AS ({rows}), me AS (SELECT slug, count(DISTINCT meeting) AS nm FROM (SELECT slug, unnest(ms) AS meeting FROM u) WHERE meeting IS NOT NULL GROUP BY 1),
-v AS (SELECT slug, unnest(es) AS v FROM u), x AS (SELECT slug, generate_subscripts(v, 1) AS i, unnest(v) AS f FROM v WHERE len(v) = {DIM}), ce AS (SELECT slug, list(round(m, 8) ORDER BY i) AS centroid FROM (SELECT slug, i, avg(f) AS m FROM x GROUP BY 1, 2) GROUP BY 1)
+v AS (SELECT slug, unnest(es) AS v FROM u), x AS (SELECT slug, generate_subscripts(v, 1) AS i, unnest(v) AS f FROM v WHERE len(v) = {DIM}), ce AS (SELECT slug, list(floor(m * 1e6 + 0.5) / 1e6 ORDER BY i) AS centroid FROM (SELECT slug, i, avg(f) AS m FROM x GROUP BY 1, 2) GROUP BY 1)
 SELECT u.slug, first(display_name ORDER BY ord) AS display_name, CAST(sum(len(es)) AS BIGINT) AS n_embeddings, coalesce(any_value(nm), 0) AS n_meetings, CAST(sum(s) AS BIGINT) AS segments, any_value(ce.centroid) AS centroid FROM u LEFT JOIN me USING (slug) LEFT JOIN ce USING (slug) GROUP BY 1"""
 
 
