@@ -7,7 +7,7 @@ latent space. Every document is cut into passages that overlap by half, so that
 lies whole in one; a passage is projected, and items with a passage of enough cosine are candidates.
 So is, whatever the cosine, an item that holds RUN or more successive words of the passage.
 Candidates are verified by longest common subsequence, then by the longest common run, and for
-paraphrases by the share of the item's rare words (its answer) that the passage holds.
+paraphrases by the share of the item's rarest words (its answer) that stand in or around the passage.
 
 The corpus is only ever mapped over: no shuffle but that of the counts of the items' words and of
 the rows found. The items are a stated set, of fixed size; beyond BLOCK of them they are taken in
@@ -246,7 +246,9 @@ def _retrieve(model: _Model, least_run: int):
                     if lcs < RUN:
                         continue
                     run = common_run(passage, model.words[item])
-                    answer = len(model.answers[item].intersection(passage)) / max(1, len(model.answers[item]))
+                    # The answer may stand anywhere in what is retold: as far around the passage as the item is long.
+                    reach = len(model.words[item])
+                    answer = len(model.answers[item].intersection(found[d][max(0, at - reach) : at + model.width + reach])) / max(1, len(model.answers[item]))
                     seen = best.setdefault((d, item), [0, 0.0, 0.0])
                     seen[0], seen[1], seen[2] = max(seen[0], run), max(seen[1], lcs / model.width), max(seen[2], answer)
                 rows = [(keys[d], model.ids[i], int(v[0]), v[1], v[2]) for (d, i), v in best.items() if keys[d] is not None]
@@ -296,13 +298,17 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("run") >= RUN).select("doc_id", "item_id")
 
 
-def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also paraphrases: most of a passage in the item's order, with most of the item's rare words."""
-    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
-    kind = F.when(F.col("run") >= RUN, "copied").when((F.col("shared") >= 0.5) & (F.col("answer") >= 0.34), "paraphrased")
+def kinds(found: DataFrame) -> DataFrame:
+    """Adds what a leak is: copied, or paraphrased, that is half a passage in the item's order with a third of the item's rare words; others are left out."""
+    kind = F.when(F.col("run") >= RUN, "copied").when((F.col("shared") >= 0.5) & (F.col("answer") > 0.33), "paraphrased")
     return found.withColumn("kind", kind).where("kind is not null")
 
 
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also paraphrases."""
+    return kinds(leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")))
+
+
 P9_SQL = """
 WITH w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
 i AS (SELECT DISTINCT item_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{L}\\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),

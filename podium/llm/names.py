@@ -11,6 +11,10 @@ The work is on distinct spellings with counts, pre-aggregated before the shuffle
 spelling by a join on the body, so a body of any number of records is spread over tasks; frequent
 spellings meet the rare ones through the deletion variants of their surnames, not all pairs.
 
+Where the method is narrowed: members are told apart by the channel, and the prior only decides against
+strangers; a spelling that two members explain alike means nobody in particular, however often
+either speaks. The channel's costs are stated constants, not estimates.
+
 Defined cases: null, blank and placeholder names, unknown bodies and empty rosters give no row; an
 exact alias counts as the member's name; of equal posteriors the lesser member_id wins where one
 fits better by title, else there is no row, as the name means nobody in particular; repeats of a
@@ -70,6 +74,8 @@ EDIT, SOUND, NICK, INITIAL, DROPPED, ORDER = 4.0, 1.5, 1.0, 2.0, 3.0, 1.0
 STRANGER, OTHER_TITLE = 7.0, 2.0
 #: The least share of a body's records that a member counts for, and that makes a stranger's form frequent.
 UNSEEN, FREQUENT = 0.03, 0.0066
+#: Members of all rosters up to which they are sent to the workers; beyond, they are joined to the spellings.
+SENT = 100_000
 #: A mistyped form that has so many times the member's share is a name of its own.
 OWN = 3
 NEVER = 1e9
@@ -252,18 +258,33 @@ class Member:
         return c
 
 
-def _explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(roster_id, spelling, n, members) to the members that may be meant, with costs, and the canonical form."""
+def _explain(sent):
+    """(roster_id, spelling, n[, members]) to the members that may be meant, with costs, and the canonical form.
+
+    sent is a broadcast of the members of all bodies, or None where they come with the rows.
+    """
     rosters: dict[int, list[Member]] = {}
-    for batch in batches:
+
+    def body(batch: pa.RecordBatch, row: int, r: int) -> list[Member]:
+        if r not in rosters:
+            found = sent.value.get(r, ()) if sent is not None else [(m["member_id"], m["name"], m["aliases"]) for m in batch.column(3)[row].as_py() or [] if m]
+            rosters[r] = [Member(i, name, aliases) for i, name, aliases in found if name and i is not None]
+        return rosters[r]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _explained(batch, body)
+
+    return run
+
+
+def _explained(batch: pa.RecordBatch, body) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows:  # an empty batch has nothing to say
         ids, spellings, counts = (batch.column(i).to_pylist() for i in range(3))
         out = []
         for row, (r, s, n) in enumerate(zip(ids, spellings, counts, strict=True)):
-            if r not in rosters:
-                found = batch.column(3)[row].as_py() or []
-                rosters[r] = [Member(m["member_id"], m["name"], m["aliases"]) for m in found if m and m["name"] and m["member_id"] is not None]
             p = parsed(s)
-            near = sorted((c, m.id) for m in rosters[r] if (c := m.cost(s, p)) < NEVER)[:2]
+            near = sorted((c, m.id) for m in body(batch, row, r) if (c := m.cost(s, p)) < NEVER)[:2]
             best, second = [*near, (NEVER, 0), (NEVER, 0)][:2]
             canonical = p.canonical()
             surname = canonical.partition("|")[2] or (p.words[-1] if p.words and not p.office else "")
@@ -309,8 +330,15 @@ def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
     counts = named.groupBy("roster_id", "spelling").agg(F.count(F.lit(1)).alias("n"))
     bodies = roster.where("roster_id is not null").groupBy("roster_id").agg(F.max_by("members", F.size("members")).alias("members"))
     # The parsing is the dear part and its result is read several times: spread it, and keep it.
-    spread = counts.join(bodies, "roster_id").select("roster_id", "spelling", "n", "members").repartition(_tasks(records.sparkSession), "spelling")
-    explained = cut_lineage(spread.mapInArrow(_explain, _EXPLAINED))
+    spark = records.sparkSession
+    spread = counts.repartition(_tasks(spark), "spelling")
+    size = bodies.agg(F.sum(F.size("members"))).first()[0] or 0
+    if size <= SENT:  # the members' number is known, so they may be sent out
+        sent = spark.sparkContext.broadcast({r.roster_id: [(m.member_id, m.name, m.aliases) for m in r.members if m] for r in bodies.where("members is not null").collect()})
+        spread = spread.where("roster_id is not null")
+    else:
+        sent, spread = None, spread.join(bodies, "roster_id").select("roster_id", "spelling", "n", "members")
+    explained = cut_lineage(spread.mapInArrow(_explain(sent), _EXPLAINED))
     # Priors: the share of a body's records that are surely a member's, or a canonical form's.
     total = explained.groupBy("roster_id").agg(F.sum("n").alias("total"))
     sure = explained.where(F.col("cost") <= SOUND).groupBy("roster_id", "member_id").agg(F.sum("n").alias("sure"))

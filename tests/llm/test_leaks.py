@@ -52,3 +52,42 @@ def test_pieces():
     for n in range(1, 80):
         s = leaks.starts(n, 24)
         assert all(any(k <= at and at + 12 <= k + 24 for k in s) for at in range(n - 11))
+
+
+def test_runs_of_words_that_all_documents_hold(spark):
+    """Excerpts of words found in nearly every document, set between rare words."""
+    r = random.Random(6)
+    common = text(r, 40)
+    items = [(i, " ".join(r.choice(common) for _ in range(60)), "t") for i in range(20)]
+    want, docs = set(), []
+    for d in range(400):
+        body = text(r, 40) + r.sample(common, 40) + text(r, 40)
+        if d < 20:
+            n = 12 + d % 5
+            at = r.randrange(60 - n)
+            body = text(r, 60) + items[d][1].split()[at : at + n] + text(r, 60)
+            want.add((d, d))
+        docs.append((d, " ".join(body), 1))
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string, run int"), spark.createDataFrame(items, "item_id bigint, text string, shared string")
+    got = {tuple(x) for x in leaks.leaks(d, i, rank=64, least_run=12).where(F.col("run") >= 12).select("doc_id", "item_id").collect()}
+    assert want <= got
+
+
+def test_paraphrases_are_found(spark):
+    """Items retold with a quarter of their words replaced, some dropped and some swapped, inside other text."""
+    r = random.Random(8)
+    pool = text(r, 3000)
+    items = [(i, " ".join(r.choice(pool) for _ in range(60)), "t") for i in range(60)]
+
+    def retold(words):
+        out = [r.choice(pool) if r.random() < 0.25 else w for w in words if r.random() > 0.05]
+        for k in range(0, len(out) - 1, 9):
+            out[k], out[k + 1] = out[k + 1], out[k]
+        return out
+
+    docs = [(d, " ".join([r.choice(pool) for _ in range(150)] + (retold(items[d % 60][1].split()) if d < 200 else []) + [r.choice(pool) for _ in range(150)]), 1) for d in range(600)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string, run int"), spark.createDataFrame(items, "item_id bigint, text string, shared string")
+    got = {tuple(x) for x in leaks.kinds(leaks.leaks(d, i)).select("doc_id", "item_id").collect()}
+    want = {(k, k % 60) for k in range(200)}
+    print("paraphrases: recall", len(got & want) / len(want), "precision", len(got & want) / max(1, len(got)))
+    assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.98 * len(got)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +57,40 @@ def test_deletions(spark):
     df = spark.createDataFrame([("abc",), ("a",), ("",), ("x" * 100_000,)], "w string")
     rows = df.select(names.deletions(F.col("w")).alias("d")).collect()
     assert [sorted(r.d) for r in rows] == [["ab", "abc", "ac", "bc"], ["", "a"], [""], ["x" * 100_000]]
+
+
+def test_names_outside_every_list(spark):
+    """Recall of typed variants of given names that no list of short forms knows, and of strangers left alone."""
+    r = random.Random(11)
+    syllable = lambda: r.choice("bdfgklmnprstvz") + r.choice("aeiou") + r.choice(["", "", "n", "r", "l"])
+    word = lambda k: "".join(syllable() for _ in range(k)).capitalize()
+    people = list({(word(3), word(4)) for _ in range(40)})
+    assert not {g.lower() for g, _ in people} & (set(names.NICKNAMES) | set(names._GIVEN))
+
+    def typo(w):
+        i = r.randrange(1, len(w) - 1)
+        return r.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + w[i] + w[i:], w[:i] + r.choice("aeioutn") + w[i + 1 :]])
+
+    def variant(g, s):
+        return r.choice([f"{g} {s}", f"{s}, {g}", f"{s.upper()} {g}", f"{g[0]}. {s}", s, f"Mayor {s}", f"{g} {r.choice('ABC')}. {s}", f"{typo(g)} {s}", f"{g} {typo(s)}", f"{typo(s)}, {g}", f"Trustee {g} {typo(s)}"])
+
+    roster = spark.createDataFrame([(1, [(i, f"{g} {s}", []) for i, (g, s) in enumerate(people[:30])])], "roster_id int, members array<struct<member_id bigint, name string, aliases array<string>>>")
+    rows, want = [], {}
+    for i in range(1200):
+        k = r.randrange(40)
+        rows.append(("m", i, 1, variant(*people[k])))
+        if k < 30:
+            want[i] = k
+    df = spark.createDataFrame(rows, "source string, record_id bigint, roster_id int, name string")
+    got = {x.record_id: x.member_id for x in names.attribute(df, roster).collect()}
+    right = sum(want.get(i) == k for i, k in got.items())
+    print("recall", right / len(want), "precision", right / len(got))
+    assert right >= 0.95 * len(want) and right >= 0.97 * len(got)
+
+
+def test_many_members_are_joined(spark, monkeypatch):
+    roster = spark.createDataFrame([(1, [(1, "Jane Fenwick", []), None, (2, None, [])]), (2, None)], "roster_id int, members array<struct<member_id bigint, name string, aliases array<string>>>")
+    df = spark.createDataFrame([("m", 1, 1, "Jane Fenwikc"), ("m", 2, 2, "Jane Fenwick"), ("m", 3, 9, "Jane Fenwick")], "source string, record_id bigint, roster_id int, name string")
+    for most in (100, 0):
+        monkeypatch.setattr(names, "SENT", most)
+        assert [tuple(x) for x in names.attribute(df, roster).collect()] == [("m", 1, 1)]
