@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions import text as T
+from podium.functions.labels import normal_label
 from podium.plans import base as B
 from podium.plans.people import LLM, VOICE, _cascade_sql, cascade, named_mappings, slug_of
 from podium.plans.sequences import present
@@ -159,6 +160,28 @@ def text_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 PRESENCE_SQL = f"WITH {B.SEG} SELECT meeting_id, segment_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) <> '' AS not_blank FROM seg WHERE text <> ''"
 
 
+def normal_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label as people type it; bare digits are a speaker's number."""
+    return table(spark, sf_dir, "segments").where("speaker_label is not null").select("speaker_label").distinct().select("speaker_label", normal_label("speaker_label").alias("label"))
+
+
+LABELS_SQL = "SELECT DISTINCT speaker_label, CASE WHEN regexp_matches(speaker_label, '^[0-9]+$') THEN 'SPEAKER_' || lpad(speaker_label, CAST(greatest(2, length(speaker_label)) AS INTEGER), '0') ELSE speaker_label END AS label FROM segments WHERE speaker_label IS NOT NULL"
+
+
+def shifted_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words timed from their segment's start, as a recogniser of single segments gives them, put onto the recording's clock, to the millisecond.
+
+    The segments' stored words are taken back to their own clock first.
+    """
+    s = B.segments(spark, sf_dir, "words", indexed=False).where("start_ms is not null and size(words) > 0")
+    w = s.select("meeting_id", "segment_id", F.col("start_ms").alias("at"), F.posexplode("words").alias("i", "w"))
+    own = lambda t: F.round(w["w"][t] * 1000).cast("bigint") - F.col("at")
+    return w.select("meeting_id", "segment_id", "i", F.trim(F.col("w")["word"]).alias("word"), *[F.round((F.col("at") + own(t)) / 1000, 3).alias(t) for t in ("start", "end")])
+
+
+SHIFTED_SQL = f"WITH {B.SEG}, w AS (SELECT meeting_id, segment_id, CAST(unnest(range(len(words))) AS INTEGER) AS i, unnest(words) AS w FROM seg WHERE start_ms IS NOT NULL AND len(words) > 0) SELECT meeting_id, segment_id, i, trim(w.word) AS word, round(w.start, 3) AS start, round(w.end, 3) AS end FROM w"
+
+
 def centroids_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.profiles(spark, sf_dir).where("centroid is not null").select("ord", "slug", F.size("centroid").alias("dim"))
 
@@ -192,9 +215,9 @@ SELECT meeting_id, CAST(sum(n) AS BIGINT) AS segments, CAST(sum(CASE WHEN name I
 
 QUERIES = {
     "segment_json": segment_json, "meeting_json": meeting_json, "embedding_json": embedding_json, "caption_files": caption_files, "archive_pages": archive_pages, "page_videos": page_videos, "batch_entries": batch_entries, "batch_resume": batch_resume,
-    "batch_status": batch_status, "video_choice": video_choice, "listing_display": listing_display, "audible_segments": audible_segments, "text_presence": text_presence, "centroids_present": centroids_present, "enrol_eligible": enrol_eligible, "identification": identification,
+    "batch_status": batch_status, "video_choice": video_choice, "listing_display": listing_display, "audible_segments": audible_segments, "text_presence": text_presence, "normal_labels": normal_labels, "shifted_words": shifted_words, "centroids_present": centroids_present, "enrol_eligible": enrol_eligible, "identification": identification,
 }
 SQL = {
     "segment_json": SEGMENT_SQL, "meeting_json": MEETING_SQL, "embedding_json": EMBEDDING_SQL, "caption_files": CAPTIONS_SQL, "archive_pages": ARCHIVE_SQL, "page_videos": PAGE_SQL, "batch_entries": BATCH_SQL, "batch_resume": RESUME_SQL,
-    "batch_status": STATUS_SQL, "video_choice": CHOICE_SQL, "listing_display": DISPLAY_SQL, "audible_segments": AUDIBLE_SQL, "text_presence": PRESENCE_SQL, "centroids_present": CENTROIDS_SQL, "enrol_eligible": _eligible_sql(), "identification": IDENTIFICATION_SQL,
+    "batch_status": STATUS_SQL, "video_choice": CHOICE_SQL, "listing_display": DISPLAY_SQL, "audible_segments": AUDIBLE_SQL, "text_presence": PRESENCE_SQL, "normal_labels": LABELS_SQL, "shifted_words": SHIFTED_SQL, "centroids_present": CENTROIDS_SQL, "enrol_eligible": _eligible_sql(), "identification": IDENTIFICATION_SQL,
 }

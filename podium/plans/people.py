@@ -315,7 +315,8 @@ def roster_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.groupBy("roster_id").agg(F.concat(F.lit("Known council members for this body: "), F.array_join(names, ", ")).alias("hint"))
 
 
-HINT_SQL = f"WITH {B.ROST} SELECT roster_id, 'Known council members for this body: ' || string_agg(name, ', ' ORDER BY member_ord) AS hint FROM (SELECT DISTINCT roster_id, member_ord, name FROM rost) GROUP BY 1"
+HINT_SELECT = "SELECT roster_id, 'Known council members for this body: ' || string_agg(name, ', ' ORDER BY member_ord) AS hint FROM (SELECT DISTINCT roster_id, member_ord, name FROM rost) GROUP BY 1"
+HINT_SQL = f"WITH {B.ROST} {HINT_SELECT}"
 
 
 def alias_additions(spark: SparkSession, sf_dir: str) -> DataFrame:

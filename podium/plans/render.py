@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from podium.functions import text as T
 from podium.operators.ordered import dense_index
 from podium.plans import base as B
-from podium.plans.people import named_mappings
+from podium.plans.people import HINT_SELECT, named_mappings, roster_hint
 from podium.plans.sequences import CHUNK, CONTEXT, context_windows, display_name, ordered_text, present
+from podium.sources import formats as S
 from podium.sources.tables import millis
 
 #: Widths and budgets (fixed values): condensed text, prompt tokens kept for the transcript, characters a token.
 CONDENSED, BUDGET, PER_TOKEN = 120, 8192 - 200, 3
+#: The prompt's fixed parts (fixed values).
+_HEAD = "You are analyzing a city council meeting transcript to identify speakers.\n"
+_EXACT = "\nIMPORTANT: Use the exact names from this roster when identifying speakers. Transcription may misspell names.\n"
+_CONSIDER = "? Consider:\n- How other speakers address them\n- What topics they discuss and their role\n- Conversational patterns and turn-taking\n\nRespond with ONLY a JSON object:\n{\"name\": \"Speaker Name or null\", \"reasoning\": \"brief explanation\"}"
 _TAIL = '\n---\n\nRespond with ONLY a JSON object:\n{"name": "Speaker Name or null", "reasoning": "brief explanation"}'
 
 
@@ -145,21 +150,26 @@ def speaker_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(who, F.lit(": "), F.coalesce("text", F.lit("")))
     excerpt = rows.groupBy("meeting_id", "label").agg(ordered_text(line, "idx", "\n").alias("excerpt"))
     known = named.groupBy("meeting_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("label", "name"))), lambda r: F.concat(F.lit("  - "), r["label"], F.lit(" = "), r["name"])), "\n").alias("list"))
-    out = excerpt.join(known, "meeting_id", "left")
-    prompt = F.concat(F.lit("Known speakers:\n"), F.coalesce("list", F.lit("  (none identified yet)")), F.lit("\n\nUnknown speaker to identify: "), "label", F.lit("\n\nTranscript excerpt:\n---\n"), "excerpt", F.lit("\n---"))
+    hints = B.homes(spark, sf_dir).join(roster_hint(spark, sf_dir).withColumnRenamed("roster_id", "home"), "home").select("meeting_id", "hint")
+    out = excerpt.join(known, "meeting_id", "left").join(hints, "meeting_id", "left")
+    roster = F.when(F.col("hint").isNotNull(), F.concat(F.lit("\n"), "hint", F.lit(_EXACT))).otherwise("")
+    prompt = F.concat(F.lit(_HEAD), roster, F.lit("\nKnown speakers:\n"), F.coalesce("list", F.lit("  (none identified yet)")), F.lit("\n\nUnknown speaker to identify: "), "label", F.lit("\n\nTranscript excerpt:\n---\n"), "excerpt", F.lit("\n---\n\nBased on the context, who is "), "label", F.lit(_CONSIDER))
     long = F.floor(F.char_length("prompt") / PER_TOKEN) > BUDGET
     return out.withColumn("prompt", prompt).select("meeting_id", "label", F.when(long, F.concat(F.substring("prompt", 1, BUDGET * PER_TOKEN), F.lit(_TAIL))).otherwise(F.col("prompt")).alias("prompt"))
 
 
-_TAIL_SQL = _TAIL.replace("'", "''").replace("\n", "' || chr(10) || '")
-PROMPTS_SQL = f"""WITH {B.SEG}, {B.MAPS}, nm AS (SELECT meeting_id, label, speaker_name AS name FROM map WHERE speaker_name <> ''),
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+PROMPTS_SQL = f"""WITH {B.SEG}, {B.MAPS}, {B.MEET}, {B.ROST}, {B.HOMES}, hi AS (SELECT meeting_id, hint FROM home JOIN ({HINT_SELECT}) USING (roster_id)), nm AS (SELECT meeting_id, label, speaker_name AS name FROM map WHERE speaker_name <> ''),
 o AS (SELECT *, row_number() OVER (PARTITION BY meeting_id, label ORDER BY idx) - 1 AS k, count(*) OVER (PARTITION BY meeting_id, label) AS n FROM seg),
 c AS (SELECT meeting_id, label, idx AS center FROM o WHERE k = CASE WHEN n >= 3 THEN n // 3 ELSE 0 END AND NOT EXISTS (SELECT 1 FROM nm WHERE nm.meeting_id = o.meeting_id AND nm.label = o.label)),
 x AS (SELECT c.meeting_id, c.label, string_agg(coalesce(nm.name, CASE WHEN s.label = c.label THEN '[UNKNOWN - ' || c.label || ']' ELSE s.label END) || ': ' || coalesce(text, ''), chr(10) ORDER BY s.idx) AS excerpt
   FROM c JOIN seg s ON s.meeting_id = c.meeting_id AND s.idx BETWEEN greatest(0, center - {CONTEXT}) AND center + {CONTEXT} - 1 LEFT JOIN nm ON nm.meeting_id = s.meeting_id AND nm.label = s.label GROUP BY 1, 2),
 kn AS (SELECT meeting_id, string_agg('  - ' || label || ' = ' || name, chr(10) ORDER BY label) AS list FROM nm GROUP BY 1),
-p AS (SELECT x.meeting_id, label, 'Known speakers:' || chr(10) || coalesce(list, '  (none identified yet)') || chr(10) || chr(10) || 'Unknown speaker to identify: ' || label || chr(10) || chr(10) || 'Transcript excerpt:' || chr(10) || '---' || chr(10) || excerpt || chr(10) || '---' AS prompt FROM x LEFT JOIN kn USING (meeting_id))
-SELECT meeting_id, label, CASE WHEN length(prompt) // {PER_TOKEN} > {BUDGET} THEN substr(prompt, 1, {BUDGET * PER_TOKEN}) || '{_TAIL_SQL}' ELSE prompt END AS prompt FROM p"""
+p AS (SELECT x.meeting_id, label, {_quoted(_HEAD)} || CASE WHEN hint IS NOT NULL THEN chr(10) || hint || {_quoted(_EXACT)} ELSE '' END || chr(10) || 'Known speakers:' || chr(10) || coalesce(list, '  (none identified yet)') || chr(10) || chr(10) || 'Unknown speaker to identify: ' || label || chr(10) || chr(10) || 'Transcript excerpt:' || chr(10) || '---' || chr(10) || excerpt || chr(10) || '---' || chr(10) || chr(10) || 'Based on the context, who is ' || label || {_quoted(_CONSIDER)} AS prompt FROM x LEFT JOIN kn USING (meeting_id) LEFT JOIN hi USING (meeting_id))
+SELECT meeting_id, label, CASE WHEN length(prompt) // {PER_TOKEN} > {BUDGET} THEN substr(prompt, 1, {BUDGET * PER_TOKEN}) || {_quoted(_TAIL)} ELSE prompt END AS prompt FROM p"""
 
 
 def name_answers(answers: DataFrame) -> DataFrame:
@@ -245,22 +255,97 @@ VOTES_SQL = f"""WITH {B.MAPS}, p AS (SELECT meeting_id, list(speaker_name ORDER
 SELECT meeting_id, concat_ws(chr(10), '**Resolution 1** — PASSED', '_A fee_', CASE WHEN len(y) > 0 THEN 'Yea: ' || array_to_string(y, ', ') END, CASE WHEN len(n) > 0 THEN 'Nay: ' || array_to_string(n, ', ') END, '', '**Motion** — UNKNOWN', 'Vote: Unanimous', '') AS markdown FROM p"""
 
 
+def meeting_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(meeting_id, part, place, fragment): the fragments of each meeting's JSON document; joined in order they are the document.
+
+    Segments, speakers and sections are a fragment each, so a meeting of any size is never one row or one task.
+    """
+    m = B.meetings(spark, sf_dir)
+    ids = m.select("meeting_id")
+    row = lambda df, part, place, text: df.select("meeting_id", F.lit(part).alias("part"), place.cast("bigint").alias("place"), text.alias("fragment"))
+    one = F.lit(0)
+    head = F.to_json(F.struct("meeting_id", F.coalesce("city", F.lit("")).alias("city"), F.coalesce("date", F.lit("")).alias("date"), F.coalesce("meeting_type", F.lit(S.KIND)).alias("meeting_type"), F.coalesce("audio_source", F.lit("")).alias("audio_source"), F.coalesce("duration_seconds", F.lit(0.0)).alias("duration_seconds")))
+    seg = B.segments(spark, sf_dir, "confidence", "id_method", "words").join(ids, "meeting_id", "left_semi")
+    said = F.to_json(F.struct("segment_id", (F.col("start_ms") / 1000).alias("start_time"), (F.col("end_ms") / 1000).alias("end_time"), F.col("label").alias("speaker_label"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("words", F.from_json(F.lit("[]"), S.WORDS)).alias("words"), "speaker_name", "confidence", "id_method"))
+    comma = lambda first: F.when(first, F.lit("")).otherwise(F.lit(","))
+    speakers = meeting_speakers(spark, sf_dir).join(ids, "meeting_id", "left_semi")
+    speakers = speakers.join(speakers.groupBy("meeting_id").agg(F.min("label").alias("least")), "meeting_id")
+    entry = F.to_json(F.create_map("label", F.struct(F.col("label").alias("speaker_label"), "speaker_name", "confidence", "id_method", "needs_review")), {"ignoreNullFields": "false"})
+    named = row(speakers, 3, F.hash("label"), F.concat(comma(F.col("label") == F.col("least")), F.substring(entry, F.lit(2), F.char_length(entry) - 2)))
+    named = named.withColumn("place", F.when(F.col("fragment").startswith(","), F.col("place")).otherwise(F.lit(-(1 << 40))))
+    sec = meeting_summaries(spark, sf_dir).join(ids, "meeting_id", "left_semi")
+    least = sec.groupBy("meeting_id").agg(F.min("place").alias("least"), F.min(F.when(F.col("section_type") == "vote", F.col("place"))).alias("vote"), F.max("executive_summary").alias("executive"))
+    sec = sec.join(least.select("meeting_id", "least", "vote"), "meeting_id")
+    section = F.to_json(F.struct("section_type", "title", "content", "start_time", "end_time", "start_segment", "end_segment"))
+    title = F.to_json(F.array("title"))
+    quote = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.char_length(F.to_json(F.array(c))) - 2)
+    metadata = '{"pipeline_version":"%s","diarization_model":"","transcription_model":"","gpu_used":false}' % S.PIPELINE
+    have = m.select("meeting_id").join(least, "meeting_id", "left")
+    summary = F.when(F.col("least").isNotNull(), F.concat(F.lit(',"summary":{"executive_summary":'), quote(F.coalesce("executive", F.lit(""))), F.lit(',"sections":['))).otherwise("}")
+    parts = [
+        row(m, 0, one, F.concat(F.substring(head, F.lit(1), F.char_length(head) - 1), F.lit(',"segments":['))),
+        row(seg, 1, F.col("idx"), F.concat(comma(F.col("idx") == 0), said)),
+        row(m, 2, one, F.lit('],"speakers":{')),
+        named,
+        row(have, 4, one, F.concat(F.lit('},"processing_metadata":' + metadata), summary)),
+        row(sec, 5, F.col("place"), F.concat(comma(F.col("place") == F.col("least")), section)),
+        row(least, 6, one, F.lit('],"key_decisions":[')),
+        row(sec.where("section_type = 'vote' and title <> ''"), 7, F.col("place"), F.concat(comma(F.lit(False)), F.substring(title, F.lit(2), F.char_length(title) - 2))),
+        row(least, 8, one, F.lit('],"model":"","generated_at":""}}')),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    # The first decision of a meeting takes no comma.
+    first = out.where("part = 7").groupBy("meeting_id").agg(F.min("place").alias("first"))
+    return out.join(first, "meeting_id", "left").select("meeting_id", "part", "place", F.when((F.col("part") == 7) & (F.col("place") == F.col("first")), F.expr("substring(fragment, 2)")).otherwise(F.col("fragment")).alias("fragment"))
+
+
+def meeting_speakers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speakers map of each meeting, written as JSON and read back with its defaults, an entry a row."""
+    m = B.mappings(spark, sf_dir)
+    j = m.select("meeting_id", F.to_json(F.create_map("label", F.struct(F.col("label").alias("speaker_label"), "speaker_name", "confidence", "id_method", "needs_review"))).alias("j"))
+    rows = j.select("meeting_id", F.explode(F.from_json("j", f"map<string, struct<{S.MAPPING}>>")).alias("label", "v"))
+    return rows.select("meeting_id", "label", "v.speaker_name", F.coalesce("v.confidence", F.lit(0.0)).alias("confidence"), "v.id_method", F.coalesce("v.needs_review", F.lit(False)).alias("needs_review"))
+
+
+SPEAKERS_SQL = f"WITH {B.MAPS} SELECT meeting_id, label, speaker_name, coalesce(confidence, 0) AS confidence, id_method, coalesce(needs_review, false) AS needs_review FROM map"
+
+
+def meeting_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sections of each meeting's summary, written as JSON and read back with their defaults; the opening's text is the executive summary."""
+    sec = B.sections(spark, sf_dir)
+    j = sec.select("meeting_id", F.col("pos").alias("place"), F.to_json(F.struct(F.col("type").alias("section_type"), F.coalesce("title", F.lit("")).alias("title"), "content", "start_time", "end_time", "start_segment", "end_segment")).alias("j"))
+    rows = j.select("meeting_id", "place", S.section_defaults(F.from_json("j", f"struct<{S.SECTION}>")).alias("s")).select("meeting_id", "place", "s.*")
+    return rows.withColumn("executive_summary", F.when((F.col("section_type") == "opening") & (F.col("place") == 0) & (F.col("content") != ""), F.col("content")))
+
+
+SUMMARIES_SQL = f"WITH {B.SECT} SELECT meeting_id, pos AS place, type AS section_type, coalesce(title, '') AS title, coalesce(content, '') AS content, coalesce(start_time, 0) AS start_time, coalesce(end_time, 0) AS end_time, coalesce(start_segment, 0) AS start_segment, coalesce(end_segment, 0) AS end_segment, CASE WHEN type = 'opening' AND pos = 0 AND content <> '' THEN content END AS executive_summary FROM sect"
+
+
 def write_exports(spark: SparkSession, sf_dir: str, out: str) -> None:
-    """The sinks: Markdown, subtitles, summaries as text by meeting, and the segments as JSON lines."""
+    """The sinks: Markdown, subtitles, summaries and whole meeting documents, a folder a meeting.
+
+    Rows are ranged by meeting and place, so a long meeting is written by several tasks; its files in
+    the order of their names are its text.
+    """
     from podium.plans.captions import srt_entries
 
-    by = ["meeting_id"]
-    markdown_lines(spark, sf_dir).repartition("meeting_id").sortWithinPartitions("meeting_id", "idx").select("meeting_id", "block").write.mode("overwrite").partitionBy(*by).text(f"{out}/markdown")
-    srt_entries(spark, sf_dir).repartition("meeting_id").sortWithinPartitions("meeting_id", "counter").select("meeting_id", "entry").write.mode("overwrite").partitionBy(*by).text(f"{out}/srt")
-    summary_markdown(spark, sf_dir).write.mode("overwrite").partitionBy(*by).text(f"{out}/summary")
-    B.segments(spark, sf_dir, "words", indexed=False).write.mode("overwrite").partitionBy(*by).json(f"{out}/json")
+    def put(df: DataFrame, order: list[str], value: str, name: str) -> None:
+        ranged = df.repartitionByRange("meeting_id", *order).sortWithinPartitions("meeting_id", *order)
+        ranged.select("meeting_id", value).write.mode("overwrite").partitionBy("meeting_id").text(f"{out}/{name}")
+
+    put(markdown_lines(spark, sf_dir), ["idx"], "block", "markdown")
+    put(srt_entries(spark, sf_dir), ["counter"], "entry", "srt")
+    put(summary_markdown(spark, sf_dir), [], "summary", "summary")
+    put(meeting_document(spark, sf_dir), ["part", "place"], "fragment", "json")
 
 
 QUERIES = {
     "time_formats": time_formats, "sentence_parts": sentence_parts, "markdown_lines": markdown_lines, "condensed_chunks": condensed_chunks, "section_transcripts": section_transcripts, "section_times": section_times,
-    "summary_markdown": summary_markdown, "executive_prompts": executive_prompts, "speaker_prompts": speaker_prompts, "parsed_answers": parsed_answers, "roll_calls": roll_calls, "votes": votes,
+    "summary_markdown": summary_markdown, "meeting_document": meeting_document, "meeting_speakers": meeting_speakers, "meeting_summaries": meeting_summaries, "executive_prompts": executive_prompts, "speaker_prompts": speaker_prompts, "parsed_answers": parsed_answers, "roll_calls": roll_calls, "votes": votes,
 }
 SQL = {
-    "time_formats": TIMES_SQL, "sentence_parts": SENTENCES_SQL, "markdown_lines": MARKDOWN_SQL, "condensed_chunks": CONDENSED_SQL, "section_transcripts": SECTION_TEXT_SQL, "section_times": SECTION_TIMES_SQL, "summary_markdown": SUMMARY_SQL,
+    "time_formats": TIMES_SQL, "sentence_parts": SENTENCES_SQL, "markdown_lines": MARKDOWN_SQL, "condensed_chunks": CONDENSED_SQL, "section_transcripts": SECTION_TEXT_SQL, "section_times": SECTION_TIMES_SQL, "summary_markdown": SUMMARY_SQL, "meeting_speakers": SPEAKERS_SQL, "meeting_summaries": SUMMARIES_SQL,
     "executive_prompts": EXECUTIVE_SQL, "speaker_prompts": PROMPTS_SQL, "parsed_answers": ANSWERS_SQL, "roll_calls": ROLL_SQL, "votes": VOTES_SQL,
 }

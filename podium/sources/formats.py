@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 WORDS = "array<struct<word: string, start: double, end: double>>"
 SEGMENT = f"segment_id int, start_time double, end_time double, speaker_label string, text string, words {WORDS}, speaker_name string, confidence double, id_method string"
-MEETING = f"meeting_id string, city string, date string, meeting_type string, audio_source string, duration_seconds double, segments array<struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in SEGMENT.replace(WORDS, 'W').split(','))}>>".replace("words: W", f"words: {WORDS}")
+_NESTED = ", ".join(f.strip().replace(" ", ": ", 1) for f in SEGMENT.replace(WORDS, "W").split(",")).replace("words: W", f"words: {WORDS}")
+MAPPING = "speaker_label: string, speaker_name: string, confidence: double, id_method: string, needs_review: boolean"
+SECTION = "section_type: string, title: string, content: string, start_time: double, end_time: double, start_segment: int, end_segment: int"
+SUMMARY = f"executive_summary: string, key_decisions: array<string>, sections: array<struct<{SECTION}>>, model: string, generated_at: string"
+METADATA = "pipeline_version: string, diarization_model: string, transcription_model: string, gpu_used: boolean, processing_time_seconds: double"
+MEETING = f"meeting_id string, city string, date string, meeting_type string, audio_source string, duration_seconds double, segments array<struct<{_NESTED}>>, speakers map<string, struct<{MAPPING}>>, summary struct<{SUMMARY}>, processing_metadata struct<{METADATA}>"
+ROSTER = "city string, body string, members array<struct<name: string, aliases: array<string>>>"
+#: What fields that a document leaves out are taken for (fixed values).
+KIND, PIPELINE = "Regular Session", "1.0.0"
 _STAMP = r"(?:(\d{1,2}):)?(\d{2}):(\d{2})[.,](\d{3})"
 _LINE = rf"{_STAMP}\s*-->\s*{_STAMP}"
 #: Video suffixes in order of preference (fixed values).
@@ -25,9 +33,41 @@ def segment_to_json(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def _or(value: Column, default: object) -> Column:
+    return F.coalesce(value, F.lit(default))
+
+
+def with_defaults(meetings: DataFrame) -> DataFrame:
+    """Meeting documents with the fields that were left out at their defaults; a summary that was left out stays null."""
+    segments = F.transform(F.coalesce("segments", F.from_json(F.lit("[]"), f"array<struct<{_NESTED}>>")), lambda s: s.withField("text", _or(s["text"], "")).withField("words", F.coalesce(s["words"], F.from_json(F.lit("[]"), WORDS))))
+    speakers = F.transform_values(F.coalesce("speakers", F.from_json(F.lit("{}"), f"map<string, struct<{MAPPING}>>")), lambda _, m: m.withField("confidence", _or(m["confidence"], 0.0)).withField("needs_review", _or(m["needs_review"], False)))
+    m, q = F.col("processing_metadata"), F.col("summary")
+    metadata = F.struct(_or(m["pipeline_version"], PIPELINE).alias("pipeline_version"), _or(m["diarization_model"], "").alias("diarization_model"), _or(m["transcription_model"], "").alias("transcription_model"), _or(m["gpu_used"], False).alias("gpu_used"), m["processing_time_seconds"].alias("processing_time_seconds"))
+    sections = F.transform(F.coalesce(q["sections"], F.from_json(F.lit("[]"), f"array<struct<{SECTION}>>")), section_defaults)
+    summary = F.when(q.isNotNull(), F.struct(_or(q["executive_summary"], "").alias("executive_summary"), F.coalesce(q["key_decisions"], F.array().cast("array<string>")).alias("key_decisions"), sections.alias("sections"), _or(q["model"], "").alias("model"), _or(q["generated_at"], "").alias("generated_at")))
+    return meetings.withColumns({"meeting_type": _or(F.col("meeting_type"), KIND), "audio_source": _or(F.col("audio_source"), ""), "duration_seconds": _or(F.col("duration_seconds"), 0.0), "segments": segments, "speakers": speakers, "summary": summary, "processing_metadata": metadata})
+
+
+def section_defaults(s: Column) -> Column:
+    for field, default in (("content", ""), ("start_time", 0.0), ("end_time", 0.0), ("start_segment", 0), ("end_segment", 0)):
+        s = s.withField(field, _or(s[field], default))
+    return s
+
+
 def read_meetings(spark: SparkSession, path: str) -> DataFrame:
-    """Whole meeting documents, one file each, with their segments' places kept by posexplode."""
-    return spark.read.schema(MEETING).option("multiLine", True).json(path)
+    """Whole meeting documents, one file each: segments, speakers, summary and metadata."""
+    return with_defaults(spark.read.schema(MEETING).option("multiLine", True).json(path))
+
+
+def read_roster(spark: SparkSession, path: str) -> DataFrame:
+    """Rosters (city, body, members) of JSON files, one each; an empty table where there is no file."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at):
+        return spark.createDataFrame([], ROSTER)
+    raw = spark.read.schema(ROSTER).option("multiLine", True).json(path)
+    members = F.transform(F.coalesce("members", F.from_json(F.lit("[]"), ROSTER.split("members ")[1])), lambda m: m.withField("aliases", F.coalesce(m["aliases"], F.array().cast("array<string>"))))
+    return raw.select(_or(F.col("city"), "").alias("city"), _or(F.col("body"), "").alias("body"), members.alias("members"))
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
@@ -80,7 +120,8 @@ def is_vtt(content: Column) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    return F.trim(F.regexp_extract(tag, rf'(?i)\bdata-{name}\s*=\s*"([^"]*)"', 1))
+    quoted = F.regexp_extract(tag, rf"""(?i)\bdata-{name}\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
+    return F.trim(F.regexp_replace(quoted, r"""^[^"']*["']|["']$""", ""))
 
 
 def _absolute(path: Column, base: str) -> Column:
@@ -90,7 +131,7 @@ def _absolute(path: Column, base: str) -> Column:
 def archive_listing(df: DataFrame, html: str, base: str, *keep: str) -> DataFrame:
     """The recordings that an archive page lists: every link with a video, its captions beside it."""
     tags = df.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*\bdata-m4v\b[^>]*>"), F.lit(0))).alias("place", "tag"))
-    video = F.regexp_extract("tag", r'(?i)\bdata-m4v\s*=\s*"([^"]*)"', 1)
+    video = _attribute(F.col("tag"), "m4v")
     rows = tags.withColumn("m4v", video).where("m4v <> ''")
     stem = F.regexp_replace("m4v", r"\.[^.]*$", "")
     return rows.select(

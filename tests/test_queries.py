@@ -1,6 +1,8 @@
 import importlib
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from podium.plans import registry
 from tests.oracle import connect, same
@@ -35,9 +37,25 @@ def test_plans_have_no_product_of_tables(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_scans_read_only_what_they_need(spark):
-    plan = registry.QUERIES["p2_found"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "words" not in plan and "text" not in plan.split("ReadSchema")[1][:200]
+@pytest.mark.parametrize("name", ["p2_found", "turn_merge", "time_formats", "overlap_lengths", "section_times", "audible_segments", "merged_segments"])
+def test_scans_read_only_what_they_need(spark, name):
+    plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: (struct<.*?>)(?:\n|$)", plan)
+    assert schemas or name == "merged_segments"
+    assert not [s for s in schemas if re.search(r"\b(text|words|speaker_name):", s)]
+
+
+def test_thin_rows_are_aggregated_by_hash(spark):
+    for name in ("turn_merge", "p2_found", "time_formats"):
+        assert "SortAggregate" not in registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_epoch_seconds_are_times_like_others(spark, tmp_path):
+    t = spark.read.parquet(f"{SF}/segments.parquet")
+    late = t.withColumns({c: F.col(c) + 1.7e9 for c in ("start_time", "end_time")})
+    late.write.parquet(f"{tmp_path}/segments.parquet")
+    a, b = (registry.QUERIES["p2_found"](spark, d).select("meeting_id", "speaker_no", "kind").groupBy("meeting_id", "speaker_no", "kind").count() for d in (SF, str(tmp_path)))
+    assert {tuple(x) for x in a.collect()} == {tuple(x) for x in b.collect()}
 
 
 def test_correction_totals_count_fuzzy_surnames(spark, tmp_path):

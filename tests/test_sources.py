@@ -39,7 +39,7 @@ def test_json(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"meeting_id": "m",\n "segments": [{"segment_id": 1, "words": [{"word": "a", "start": 0.0, "end": 1.0}]}]}')
     (tmp_path / "e.json").write_text('{"A": [1.0, 2.0], "B": []}')
     m = S.read_meetings(spark, str(tmp_path / "m.json")).collect()[0]
-    assert m.segments[0].words[0].word == "a" and m.segments[0].text is None
+    assert m.segments[0].words[0].word == "a" and m.segments[0].text == "" and m.speakers == {} and m.summary is None and m.meeting_type == "Regular Session" and m.processing_metadata.pipeline_version == "1.0.0"
     assert {r.label: r.embedding for r in S.read_embeddings(spark, str(tmp_path / "e.json")).collect()} == {"A": [1.0, 2.0], "B": []}
     s = spark.createDataFrame([('{"segment_id": 3}',)], "j string").select(S.segment_from_json(F.col("j")).alias("s")).collect()[0].s
     assert s.text == "" and s.words == [] and s.speaker_name is None
@@ -62,6 +62,36 @@ def test_store_is_swapped(spark, tmp_path):
     assert len(list((tmp_path / "store").glob("v-*"))) == 2
 
 
+def test_rosters(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"city": "C",\n "members": [{"name": "A", "aliases": ["x"]}, {"name": "B"}]}')
+    (r,) = S.read_roster(spark, str(tmp_path / "r.json")).collect()
+    assert (r.city, r.body, [(m.name, m.aliases) for m in r.members]) == ("C", "", [("A", ["x"]), ("B", [])])
+    assert S.read_roster(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_meeting_documents_come_back_whole(spark, tmp_path):
+    from podium.plans import base, render
+
+    rows = render.meeting_document(spark, SF).orderBy("meeting_id", "part", "place").collect()
+    texts = {}
+    for r in rows:
+        texts.setdefault(r.meeting_id, []).append(r.fragment)
+    for i, t in enumerate(texts.values()):
+        (tmp_path / f"{i}.json").write_text("\n".join(t))
+    docs = S.read_meetings(spark, str(tmp_path)).collect()
+    assert {d.meeting_id for d in docs} == set(texts) and len(docs) == len(texts) > 3
+    ids = base.meetings(spark, SF).select("meeting_id")
+    seg = base.segments(spark, SF, "words").join(ids, "meeting_id").orderBy("meeting_id", "idx").collect()
+    got = [(d.meeting_id, s.segment_id, round(s.start_time * 1000), s.speaker_label, s.text, len(s.words), s.speaker_name) for d in sorted(docs, key=lambda d: d.meeting_id) for s in d.segments]
+    assert got == [(s.meeting_id, s.segment_id, s.start_ms, s.label, s.text or "", len(s.words or []), s.speaker_name) for s in seg]
+    named = {(d.meeting_id, k, v.speaker_name, v.confidence, v.id_method, v.needs_review) for d in docs for k, v in d.speakers.items()}
+    assert named == {tuple(x) for x in render.meeting_speakers(spark, SF).join(ids, "meeting_id", "left_semi").collect()}
+    sections = {(d.meeting_id, i, s.section_type, s.title, s.content) for d in docs if d.summary for i, s in enumerate(d.summary.sections)}
+    assert {x[2:] for x in sections} == {(x.section_type, x.title, x.content) for x in render.meeting_summaries(spark, SF).join(ids, "meeting_id", "left_semi").collect()}
+    votes = [x.title for x in render.meeting_summaries(spark, SF).where("section_type = 'vote' and title <> ''").join(ids, "meeting_id", "left_semi").collect()]
+    assert sorted(t for d in docs if d.summary for t in d.summary.key_decisions) == sorted(votes)
+
+
 def test_exports(spark, tmp_path):
     from podium.plans.render import write_exports
 
