@@ -60,11 +60,12 @@ def test_epoch_seconds_are_times_like_others(spark, tmp_path):
 
 def test_correction_totals_count_fuzzy_surnames(spark, tmp_path):
     rows = {
-        "roster": [{"roster_id": 1, "members": [(1, "Jane Fenwick", ["Fenwick", "J. Fenwick"])]}],
-        "mappings": [{"mapping_id": i, "meeting_id": m, "speaker_label": f"SPEAKER_0{i}", "speaker_name": n, "roster_id": 1} for i, (m, n) in enumerate([("a", "Jane Fenwik"), ("b", "J. Fenwick"), ("b", "Fenwikc"), ("b", "Jane Fenwick"), ("c", "Xu")])],
+        "meetings": [{"meeting_id": "d", "city": "HERE ", "body": "Council"}],
+        "roster": [{"roster_id": 1, "city": "Here", "body": "council", "members": [(1, "Jane Fenwick", ["Fenwick", "J. Fenwick"])]}],
+        "mappings": [{"mapping_id": i, "meeting_id": m, "speaker_label": f"SPEAKER_0{i}", "speaker_name": n, "roster_id": 1 if m != "d" else None} for i, (m, n) in enumerate([("a", "Jane Fenwik"), ("b", "J. Fenwick"), ("b", "Fenwikc"), ("b", "Jane Fenwick"), ("c", "Xu"), ("d", "Fenwicke")])],
     }
     for name, some in rows.items():
         schema = spark.read.parquet(f"{SF}/{name}.parquet").schema
         spark.createDataFrame([[r.get(c) for c in schema.names] for r in some], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     got = {tuple(r) for r in registry.QUERIES["correction_totals"](spark, str(tmp_path)).collect()}
-    assert got == {("a", 1, 1), ("b", 2, 2), ("c", 0, 0)}
+    assert got == {("a", 1, 1), ("b", 2, 2), ("c", 0, 0), ("d", 1, 1)}
