@@ -146,10 +146,10 @@ def given_cost(typed: str, meant: str) -> float:
 class Parsed:
     """A spelling taken apart: title, words, whether a comma put the surname first; or an office."""
 
-    __slots__ = ("comma", "office", "title", "words")
+    __slots__ = ("comma", "office", "plain", "title", "words")
 
     def __init__(self, text: str):
-        s = plain(text)
+        s = self.plain = plain(text)
         s = re.sub(r"(?<=\b\w)\.(?=\w\b)", " ", s) if re.fullmatch(r"(?:\w\.){2,}\w?\.?", s) is None else s.replace(".", "")
         left, comma, right = s.partition(",")
         self.comma = bool(comma and right.strip())
@@ -234,7 +234,9 @@ def person_cost(typed: Parsed, given: str, surname: str) -> float:
     for g, s, middle, cost in straight + turned:
         if len(s) == 1 or any(len(x) > 1 for x in middle):
             continue
-        best = min(best, cost + word_cost(s, surname) + given_cost(g, given) + 0.5 * len(middle))
+        by_surname = word_cost(s, surname)
+        if by_surname < NEVER:
+            best = min(best, cost + by_surname + given_cost(g, given) + 0.5 * len(middle))
     return best
 
 
@@ -245,8 +247,8 @@ class Member:
         self.office = self.name.office
         self.given, self.surname = ("", "") if self.office or not self.name.words else (self.name.words[0] if len(self.name.words) > 1 else "", self.name.words[-1])
 
-    def cost(self, text: str, p: Parsed) -> float:
-        if plain(text) in self.exact and (self.office or len(p.words) > 1):
+    def cost(self, p: Parsed) -> float:
+        if p.plain in self.exact and (self.office or len(p.words) > 1):
             return 0.0
         if self.office:
             return office_cost(p, self.name)
@@ -284,7 +286,7 @@ def _explained(batch: pa.RecordBatch, body) -> Iterator[pa.RecordBatch]:
         out = []
         for row, (r, s, n) in enumerate(zip(ids, spellings, counts, strict=True)):
             p = parsed(s)
-            near = sorted((c, m.id) for m in body(batch, row, r) if (c := m.cost(s, p)) < NEVER)[:2]
+            near = sorted((c, m.id) for m in body(batch, row, r) if (c := m.cost(p)) < NEVER)[:2]
             best, second = [*near, (NEVER, 0), (NEVER, 0)][:2]
             canonical = p.canonical()
             surname = canonical.partition("|")[2] or (p.words[-1] if p.words and not p.office else "")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from podium.llm import queries
 from tests.oracle import connect, same
@@ -19,3 +20,12 @@ def test_query_equals_its_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.SQL)))
 def test_other_queries_give_rows(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+def test_epoch_seconds_are_times_like_others(spark, tmp_path):
+    for name, times in (("segments", ("start_time", "end_time")), ("cues", ("start", "end"))):
+        t = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        t.withColumns({c: F.col(c) + 1_700_000_000.0 for c in times}).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("p1_found", "p3_found", "p6_found"):
+        a, b = (queries.QUERIES[name](spark, d).collect() for d in ("/root/testdata/sf0.001", str(tmp_path)))
+        assert a and {tuple(x) for x in a} == {tuple(x) for x in b}
