@@ -16,8 +16,10 @@ rows give repeated rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +44,7 @@ WORDS_TOO = frozenset("no nos art fig sec par app gen col ed cap tel ing".split(
 OPENERS = frozenset("""
 the a an this that these those there it he she we they you i in on at as if when while after before since because although however later meanwhile then what who why how where which is are was were
 do does did can could should would will may might must no not one two some many all each every both another our their his her its my your for from to with by under over of and but or so yet staff
-mr ms mrs dr prof questions funding written see later really members residents
+mr ms mrs dr prof today tomorrow yesterday tonight
 """.split())
 DATES = frozenset("""
 monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december
@@ -57,11 +59,20 @@ THAI_OPENERS = frozenset("""
 """.split())
 THAI_CONTINUING = frozenset("และ แต่ หรือ ซึ่ง ที่ เพราะ เพื่อ จึง โดย กับ ของ แล้วก็ รวมถึง ได้แก่ เช่น ว่า ให้ ไป มา ต่อ ถึง หน้า เสียง จุด นาฬิกา บาท ล้านบาท ล้าน พัน หมื่น แสน คน แห่ง ครั้ง ปี เดือน เดือนหน้า วัน วันที่ กิโลเมตร เมตร เซนติเมตร กิโลกรัม เปอร์เซ็นต์ ชั่วโมง นาที เลื่อน ประกอบด้วย ประมาณ น.".split())
 THAI_FINAL = frozenset("แล้ว ครับ ค่ะ คะ นะ เลย ด้วย ไหม หรือไม่ ไว้ เถอะ หรอก ล่ะ เอง นี้ นั้น ออกไป เมื่อไร อย่างไร ทำไม ใคร อะไร".split())
+#: Lao words for the lattice (fixed values).
+LAO_OPENERS = frozenset("ຂ້ອຍ ຂ້າພະເຈົ້າ ເຮົາ ພວກເຮົາ ທ່ານ ເຈົ້າ ລາວ ເຂົາ ພວກເຂົາ ມັນ ທ້າວ ນາງ ກອງປະຊຸມ ຄະນະກຳມະການ ສະພາ ສະມາຊິກ ປະຊາຊົນ ປະທານ ລັດຖະບານ ໂຄງການ ງົບປະມານ ໃຜ ຫຍັງ ເປັນຫຍັງ ເມື່ອໃດ ມື້ນີ້ ມື້ອື່ນ ມື້ວານ ປີນີ້ ປີໜ້າ ຕອນນີ້ ຕໍ່ມາ ຈາກນັ້ນ ຖ້າ ເມື່ອ ຫຼັງຈາກ ກ່ອນ ດັ່ງນັ້ນ ນອກຈາກນັ້ນ ຂອບໃຈ ກະລຸນາ ການ ຄວາມ ບໍ່ ມີ".split())
+LAO_CONTINUING = frozenset("ແລະ ແຕ່ ຫຼື ເຊິ່ງ ທີ່ ເພາະ ເພື່ອ ຈຶ່ງ ໂດຍ ກັບ ຂອງ ວ່າ ໃຫ້ ໄປ ມາ ຕໍ່ ເຖິງ ເຊັ່ນ ລວມທັງ ກີບ ລ້ານ ພັນ ໝື່ນ ແສນ ຄົນ ຄັ້ງ ປີ ເດືອນ ວັນ ວັນທີ ກິໂລແມັດ ແມັດ ກິໂລກຣາມ ເປີເຊັນ ຊົ່ວໂມງ ນາທີ ໂມງ ປະມານ".split())
+LAO_FINAL = frozenset("ແລ້ວ ເດີ ເດີ້ ບໍ ບໍ່ ນໍ ເນາະ ຫວາ ນີ້ ນັ້ນ ດ້ວຍ ເອງ ເລີຍ".split())
 _THAI_WORDS = THAI_OPENERS | THAI_CONTINUING | THAI_FINAL
-_LONGEST = max(map(len, _THAI_WORDS))
+_LAO_WORDS = LAO_OPENERS | LAO_CONTINUING | LAO_FINAL
+_LONGEST = max(map(len, _THAI_WORDS | _LAO_WORDS))
+#: Words that go on with the sentence even behind a final particle.
+_LINKS = frozenset("และ แต่ หรือ ซึ่ง ที่ ແລະ ແຕ່ ຫຼື ເຊິ່ງ ທີ່".split())
+#: Letters of a run from which on it may be a sentence where no word in it is known.
+LEAST_SENTENCE = 10
 #: After a closed quotation in Chinese or Japanese, what goes on with the sentence around it.
 CJK_ON = ("と", "という", "って", "など", "の", "を", "は", "が", "に", "で", "へ", "も", "や", "随后", "随後", "然后", "然後", "接着", "接著", "并", "並", "便", "就", "后", "後", "的", "之", "而", "这", "這", "一", "，", "、", "；", ",", ";", "：", ":")
-CJK_FINAL = tuple("了 吗 呢 吧 啊 です ます ました でした だ た か ね よ".split())
+CJK_FINAL = tuple("了 吗 呢 吧 啊 です ます ました でした ません だ た か ね よ い る う く す ん".split())
 
 _OPEN = {"(": ")", "（": "）", "[": "]", "【": "】", "「": "」", "『": "』", "《": "》", "〈": "〉", "«": "»", "„": "“”", "“": "”", "‚": "‘’", "‹": "›"}
 _CLOSE = "”»」』）)]】》〉“›’\"'*"
@@ -73,6 +84,9 @@ _HEADING = re.compile(r"(?:(?<=\n)|\A)[^\S\n]*#{1,6}[^\S\n]+[^\r\n]*")
 _LABEL = re.compile(r"(?:>>\s*|[-–—]\s+)?(?:[\[(<]?\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]?(?:\s*-->\s*(?:\d+:\d\d(?::\d\d)?(?:[.,]\d+)?)?)?\s*)?(?:>>\s*)?(?:(?:[^\s:：.!?]+|\w{1,4}\.)(?:[^\S\n]+(?:[^\s:：.!?]+|\w{1,4}\.)){0,4}[:：](?=\s)\s*|\[[^\]\n]{1,40}\]\s+)?")
 _THAI_GAP = re.compile(r"(?<=\S)\s+(?=[฀-໿])")
 _CJK_GAP = re.compile(r"(?<=[぀-ヿ㐀-鿿])[^\S\n\r]+(?=[぀-ヿ㐀-鿿])")
+_RUN = re.compile("[\u0e00-\u0e7f]+|[\u0e80-\u0eff]+")
+_SPACE = re.compile(r"\s")
+_ADDRESS = re.compile(r"[@/.\\_]")
 _WORD = re.compile(r"[^\W\d_][\w'’-]*")
 
 
@@ -80,12 +94,15 @@ def thai(c: str) -> bool:
     return "฀" <= c <= "໿"
 
 
+def lao(c: str) -> bool:
+    return "\u0e80" <= c <= "\u0eff"
+
+
 def cjk(c: str) -> bool:
     return "぀" <= c <= "ヿ" or "㐀" <= c <= "鿿" or "豈" <= c <= "﫿"
 
 
-@lru_cache(maxsize=100_000)
-def thai_words(run: str) -> tuple[str, ...]:
+def _lattice(run: str, known: frozenset[str]) -> tuple[str, ...]:
     """The cheapest path through the lattice of dictionary words; unknown letters cost most."""
     n = len(run)
     cost, back = [0.0] + [1e9] * n, [0] * (n + 1)
@@ -93,9 +110,9 @@ def thai_words(run: str) -> tuple[str, ...]:
         if cost[i] >= 1e9:
             continue
         for j in range(i + 1, min(n, i + _LONGEST) + 1):
-            known = run[i:j] in _THAI_WORDS
-            if known or j == i + 1:
-                c = cost[i] + (1.0 if known else 1.5)
+            word = run[i:j] in known
+            if word or j == i + 1:
+                c = cost[i] + (1.0 if word else 1.5)
                 if c < cost[j]:
                     cost[j], back[j] = c, i
     out, j = [], n
@@ -105,19 +122,36 @@ def thai_words(run: str) -> tuple[str, ...]:
     return tuple(reversed(out))
 
 
+_short_lattice = lru_cache(maxsize=100_000)(_lattice)
+
+
+def spaceless_words(run: str) -> tuple[str, ...]:
+    """The words of a run of Thai or Lao letters; runs of usual length are remembered."""
+    known = _LAO_WORDS if lao(run[0]) else _THAI_WORDS
+    return (_short_lattice if len(run) <= 200 else _lattice)(run, known)
+
+
 def _thai_end(text: str, gap: re.Match) -> bool:
-    """Whether a gap before a Thai letter ends a sentence."""
-    before, after = text[max(0, gap.start() - 40) : gap.start()], text[gap.end() : gap.end() + 40]
-    run = re.match(r"[฀-໿]+", after).group()
-    first = thai_words(run)[0]
-    last = before[-1]
+    """Whether a gap before a Thai or Lao letter ends a sentence: by the final particle before it and the word after it."""
+    after = spaceless_words(_RUN.match(text, gap.end()).group())
+    first = after[0]
+    openers, continuing, final = (LAO_OPENERS, LAO_CONTINUING, LAO_FINAL) if lao(text[gap.end()]) else (THAI_OPENERS, THAI_CONTINUING, THAI_FINAL)
+    last = text[gap.start() - 1]
     if thai(last):
-        if first in THAI_CONTINUING:
-            words = thai_words(re.search(r"[฀-໿]+$", before).group())
-            return words[-1] in THAI_FINAL and first not in ("และ", "แต่", "หรือ", "ซึ่ง", "ที่")
-        return True
+        lo = gap.start()
+        while lo and thai(text[lo - 1]):
+            lo -= 1
+        before = spaceless_words(text[lo : gap.start()])
+        if before[-1] in _LINKS and before[-1] not in ("ที่", "ທີ່"):
+            return False
+        if first in continuing:
+            return before[-1] in final and first not in _LINKS
+        # Short runs of unknown words are members of a list.
+        listed = [len(w) for w in (before, after)]
+        unknown = [all(len(x) == 1 for x in w) for w in (before, after)]
+        return not any(u and n < LEAST_SENTENCE for u, n in zip(unknown, listed, strict=True))
     if last.isdigit():
-        return first in THAI_OPENERS and len(first) > 2 and first not in ("ในการ",)
+        return first in openers and len(first) > 2 and first not in ("ในการ",)
     return False
 
 
@@ -188,7 +222,7 @@ def _goes_on(block: str, start: int, opened: int, after: int) -> bool:
             return True
         if not leads:
             return False
-        following = _WORD.findall(block[at : at + 80])[:4]
+        following = [m.group() for m in islice(_WORD.finditer(block, at), 4)]
         said = next((k for k, w in enumerate(following) if w in SPEECH), None)
         return said is not None and 0 < said and all(w[0].isupper() for w in following[:said]) and following[0].lower() not in OPENERS - {"mr", "ms", "mrs", "dr", "prof"}
     if c.isalpha() or c in "िं":  # scripts without case
@@ -196,15 +230,43 @@ def _goes_on(block: str, start: int, opened: int, after: int) -> bool:
     return c.isdigit() and leads
 
 
+@lru_cache(maxsize=8)
+def _places(block: str) -> tuple[list[int], list[int]]:
+    """Where white space is, and the signs of addresses; for the block at hand."""
+    return [m.start() for m in _SPACE.finditer(block)], [m.start() for m in _ADDRESS.finditer(block)]
+
+
+def _in_address(block: str, at: int) -> bool:
+    """Whether the unbroken token before `at` holds a sign of an address or another full stop."""
+    spaces, signs = _places(block)
+    i, k = bisect_left(spaces, at), bisect_left(signs, at)
+    return k > 0 and signs[k - 1] > (spaces[i - 1] if i else -1)
+
+
+def _word_before(block: str, at: int) -> str:
+    """The word before the one that ends at `at`; '' if something else than white space lies between."""
+    hi = at
+    while hi and (block[hi - 1].isalnum() or block[hi - 1] == "_"):
+        hi -= 1
+    gap = hi
+    while gap and block[gap - 1].isspace():
+        gap -= 1
+    lo = gap
+    while lo and (block[lo - 1].isalnum() or block[lo - 1] in "_'’-"):
+        lo -= 1
+    while lo < gap and not block[lo].isalpha():
+        lo += 1
+    return block[lo:gap] if gap < hi else ""
+
+
 def _lost_space(block: str, at: int, nxt: int) -> bool:
     """A full stop between a small letter and a word with a capital: an end whose space was lost, or an address or decimal."""
     if not (block[at - 1].islower() and block[nxt].isupper() and (block[nxt + 1 : nxt + 2].islower() or block[nxt + 1 : nxt + 2].isspace() or block[nxt + 1 : nxt + 2] in (".", "'", "’"))):
         return False
-    token = re.search(r"\S*$", block[max(0, at - 60) : at]).group()
     word = _abbreviation(block, at)
     if word in MAYBE_LAST:
         return True
-    return len(word) > 1 and word not in NEVER_LAST and not any(c in token for c in "@/.\\_")
+    return len(word) > 1 and word not in NEVER_LAST and not _in_address(block, at)
 
 
 def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
@@ -238,8 +300,8 @@ def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
             return follows in OPENERS or c in _OPEN or not c.isalnum()
         if word in ("st", "sr", "rd"):
             # A street, if a name with a capital stands before; a saint or a title otherwise.
-            m = re.search(r"([^\W\d_][\w'’-]*)\s+\w+$", block[max(0, at - 40) : at])
-            street = bool(m and m.group(1)[:1].isupper() and m.group(1).lower() not in OPENERS)
+            name = _word_before(block, at)
+            street = name[:1].isupper() and name.lower() not in OPENERS
             return street and follows in OPENERS
         if word in WORDS_TOO and c.isupper() and block[at - len(word)].islower():
             return True

@@ -36,6 +36,28 @@ def test_thai_gaps():
     assert [text[a:b] for a, b in sentences(text)] == parts
 
 
+def test_lists_and_other_spaceless_scripts():
+    for parts in (
+        ["ที่ประชุมซื้อ ปากกา ดินสอ ที่ร้าน"], ["ຂ້ອຍໄປຕະຫຼາດແລ້ວ", "ກອງປະຊຸມເລີ່ມແລ້ວ ແລະ ທຸກຄົນມາ"], ["今日は天気がいい", "明日は雨かも"], ["He was in Washington D.C.", "Tomorrow he leaves."],
+        ["ខ្ញុំទៅផ្សារ ហើយត្រឡប់មកវិញ។", "គាត់មិនទៅទេ។"], ["ကျွန်တော် ဈေးသွားတယ်။", "သူ မလာဘူး။"],
+    ):
+        text = " ".join(parts)
+        assert [text[a:b] for a, b in sentences(text)] == parts
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    for unit in ("วาระที่", "a.Ba@", "Smith St. ", "ที่ 5 ", "“x.” "):
+        took = []
+        for n in (4_000, 32_000):
+            text = unit * n
+            began = time.perf_counter()
+            assert sentences(text)[-1][1] == len(text.rstrip())
+            took.append(time.perf_counter() - began)
+        assert took[1] < 24 * took[0] + 1, (unit, took)
+
+
 def test_blocks():
     text = "## Head. Line\nBody one. Body two.\r\n\r\n1. Item. Still item\n- Other\n\nSpeaker 4: Dr. A spoke. Then left.\n\n[01:02] Yes. No.\n \nlast"
     assert [text[a:b] for a, b in sentences(text)] == ["## Head. Line", "Body one.", "Body two.", "1. Item. Still item", "- Other", "Speaker 4: Dr. A spoke.", "Then left.", "[01:02] Yes.", "No.", "last"]
