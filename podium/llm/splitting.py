@@ -82,3 +82,19 @@ SELECT DISTINCT 'segment' AS source, meeting_id, segment_id AS item_no FROM segm
 UNION ALL
 SELECT DISTINCT 'section', meeting_id, pos FROM sections WHERE length(content) > 1000
 """
+
+
+def _pieces_sql() -> str:
+    quoted = pattern().replace("'", "''")
+    return f"""
+WITH t AS (SELECT 'segment' AS source, meeting_id, segment_id AS item_no, min(text) AS text FROM segments WHERE length(text) > {LIMIT} GROUP BY ALL
+  UNION ALL SELECT 'section', meeting_id, pos, min(content) FROM sections WHERE length(content) > {LIMIT} GROUP BY ALL),
+c AS (SELECT source, meeting_id, item_no, regexp_extract_all(text, '{quoted}', 0) AS cores FROM t),
+x AS (SELECT source, meeting_id, item_no, CAST(unnest(range(len(cores))) AS INTEGER) AS piece_no, unnest(cores) AS own, unnest(list_prepend('', cores[1:len(cores) - 1])) AS before FROM c),
+s AS (SELECT *, substr(before, greatest(1, length(before) - {OVERLAP - 1}), {OVERLAP}) AS tail, CAST(coalesce(sum(length(own)) OVER (PARTITION BY source, meeting_id, item_no ORDER BY piece_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS core FROM x),
+v AS (SELECT *, CASE WHEN length(before) > {OVERLAP} AND regexp_matches(tail, '(?s)\\s\\S') THEN regexp_replace(tail, '(?s)^\\S*\\s+', '') ELSE tail END AS shared FROM s)
+SELECT source, meeting_id, item_no, piece_no, core - CAST(length(shared) AS INTEGER) AS start, core, shared || own AS piece FROM v
+"""
+
+
+P7_PIECES_SQL = _pieces_sql()

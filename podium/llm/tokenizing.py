@@ -1,7 +1,7 @@
 """Problem 8: the whole corpus as ids of a public byte-level BPE tokenizer.
 
-Method: the vocabulary's byte strings, mapped to Latin-1 characters, form an Aho-Corasick
-automaton, whose longest-prefix walk names the longest token at each place. A piece of text is
+Method: the vocabulary's byte strings, mapped to Latin-1 characters, form the trie of an Aho-Corasick
+automaton, whose longest-prefix walk (without failure links) bounds the longest token at each place. A piece of text is
 encoded by taking the longest token and backtracking to shorter ones where two neighbours could
 not both come out of the merges; whether two tokens may stand side by side depends on those two
 alone and is memoised. The only encoding of which all neighbours are compatible is the one the
@@ -50,6 +50,7 @@ class BacktrackingEncoder:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for s, i in ranks.items():
             self.automaton.add_word(s, i)
+        self.most = max(map(len, ranks))  # no token is longer
         self.shorter: dict[int, int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         self.beside: dict[tuple[int, int], bool] = {}
@@ -157,7 +158,7 @@ class BacktrackingEncoder:
 
     def _longest(self, s: str, at: int) -> int:
         # The automaton says how far some token goes on; the longest whole token lies within that.
-        n = self.automaton.longest_prefix(s[at : at + 512])
+        n = self.automaton.longest_prefix(s[at : at + self.most])
         ranks = self.ranks
         while n > 1:
             r = ranks.get(s[at : at + n])
