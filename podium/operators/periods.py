@@ -33,8 +33,8 @@ SHARD_MS, REACH = 3_600_000, 24
 #: Rows whose containers are built together.
 _ROWS = 200_000
 _PERIOD, _GAP, _EDGE = 0, 1, 2
-_SCHEMA = "g string, e int, kind int, s bigint, t bigint, n bigint, joined boolean, shard bigint, runs binary"
-_ARROW = pa.schema([("g", pa.string()), ("e", pa.int32()), ("kind", pa.int32()), ("s", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("joined", pa.bool_()), ("shard", pa.int64()), ("runs", pa.binary())])
+_SCHEMA = "g string, e int, kind int, s bigint, t bigint, n bigint, joined boolean, shard bigint"
+_ARROW = pa.schema([("g", pa.string()), ("e", pa.int32()), ("kind", pa.int32()), ("s", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("joined", pa.bool_()), ("shard", pa.int64())])
 
 
 def _merge(first: np.ndarray, s: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,13 +109,7 @@ def _contain(shard: int):
 def _unite(final: bool, shard: int):
     """Unites what lies in each (group, shard, entity): run containers, or at last the runs at the shards' ends."""
 
-    def fn(table: pa.Table, begins: np.ndarray) -> pa.Table:
-        kind = numbers(table, "kind")
-        loose = kind == _EDGE
-        passed = table.filter(pa.array(~loose)) if not loose.all() else None
-        work = table.filter(pa.array(loose))
-        if work.num_rows == 0:
-            return table.select([f.name for f in _ARROW]).cast(_ARROW)
+    def fn(work: pa.Table, begins: np.ndarray) -> pa.Table:
         first = changes(work, ["g", "shard", "e"])
         if final:
             s, t, n = numbers(work, "s"), numbers(work, "t"), numbers(work, "n")
@@ -141,25 +135,21 @@ def _unite(final: bool, shard: int):
         out_kind = np.where(edge, _EDGE, _PERIOD)
         # The last run of a container knows that the clear run before it has been read off.
         out_joined = np.where(edge & ~re, True, rj)
-        none = lambda k: pa.nulls(k, pa.binary())
-        runs = pa.table({"g": keep["g"], "e": keep["e"], "kind": pa.array(out_kind, pa.int32()), "s": rs, "t": rt, "n": rn, "joined": out_joined, "shard": keep["shard"], "runs": none(len(at))})
+        runs = pa.table({"g": keep["g"], "e": keep["e"], "kind": pa.array(out_kind, pa.int32()), "s": rs, "t": rt, "n": rn, "joined": out_joined, "shard": keep["shard"]})
         holes = keep.take(pa.array(gap))
-        clear = pa.table({"g": holes["g"], "e": holes["e"], "kind": pa.array(np.full(len(gap), _GAP), pa.int32()), "s": rt[gap - 1], "t": rs[gap], "n": np.zeros(len(gap), np.int64), "joined": np.zeros(len(gap), bool), "shard": holes["shard"], "runs": none(len(gap))})
-        parts = [runs.cast(_ARROW), clear.cast(_ARROW)]
-        if passed is not None:
-            parts.append(passed.select([f.name for f in _ARROW]).cast(_ARROW))
-        return pa.concat_tables(parts)
+        clear = pa.table({"g": holes["g"], "e": holes["e"], "kind": pa.array(np.full(len(gap), _GAP), pa.int32()), "s": rt[gap - 1], "t": rs[gap], "n": np.zeros(len(gap), np.int64), "joined": np.zeros(len(gap), bool), "shard": holes["shard"]})
+        return pa.concat_tables([runs.cast(_ARROW), clear.cast(_ARROW)])
 
     return fn
 
 
 def _level(timed: DataFrame, shard: int) -> DataFrame:
     contained = timed.mapInArrow(_contain(shard), "g string, e int, shard bigint, runs binary")
-    nothing = {"kind": F.lit(_EDGE), "s": F.lit(0).cast("bigint"), "t": F.lit(0).cast("bigint"), "n": F.lit(0).cast("bigint"), "joined": F.lit(False)}
-    local = map_groups(contained.withColumns(nothing), ["g", "shard"], ["e"], _unite(False, shard), _SCHEMA)
-    # The rows that are done ride along in their shard, so that Python runs once; edges meet by group.
-    to = local.withColumn("shard", F.when(F.col("kind") == _EDGE, F.lit(-1)).otherwise(F.col("shard")))
-    return map_groups(to, ["g", "shard"], ["e", "s"], _unite(True, shard), _SCHEMA).select("g", "e", "kind", "s", "t", "n")
+    local = map_groups(contained, ["g", "shard"], ["e"], _unite(False, shard), _SCHEMA)
+    # Only edges are shuffled on, to meet by group; the rows that are done pass them by.
+    edges = local.where(F.col("kind") == _EDGE).withColumn("shard", F.lit(-1).cast("bigint"))
+    met = map_groups(edges, ["g", "shard"], ["e", "s"], _unite(True, shard), _SCHEMA)
+    return local.where(F.col("kind") != _EDGE).unionByName(met).select("g", "e", "kind", "s", "t", "n")
 
 
 def periods_and_gaps(df: DataFrame, group: Column, entity: Column, start: Column, end: Column, shard: int = SHARD_MS, longest: int | None = None) -> DataFrame:
