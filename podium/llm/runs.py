@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from podium.functions.labels import speaker_number
-from podium.operators.stream import changes, map_groups, numbers
+from podium.operators.stream import map_groups, numbers
 from podium.plans.periods import SEGMENTS_SQL
 from podium.sources.tables import millis, once, table
 
@@ -34,12 +34,7 @@ def _collapse(final: bool, chunk: int, text: bool = False):
     """Runs of each (g, chunk); rows come sorted by chunk, time and id, and may be runs themselves."""
     schema = _ARROW.append(pa.field("text", pa.string())) if text else _ARROW
 
-    def fn(table: pa.Table, begins: np.ndarray) -> pa.Table:
-        loose = table.column("edge").to_numpy(zero_copy_only=False).astype(bool)
-        passed, work = table.filter(pa.array(~loose)).select(schema.names).cast(schema), table.filter(pa.array(loose))
-        if work.num_rows == 0:
-            return passed
-        begins = changes(work, ["g", "chunk"])
+    def fn(work: pa.Table, begins: np.ndarray) -> pa.Table:
         v = numbers(work, "v", _NONE)
         starts = begins.copy()
         starts[1:] |= v[1:] != v[:-1]
@@ -62,7 +57,7 @@ def _collapse(final: bool, chunk: int, text: bool = False):
         if text:
             said = work.column("text").to_pylist()
             columns["text"] = [" ".join(filter(None, said[lo : hi + 1])) for lo, hi in zip(where, last, strict=True)]
-        return pa.concat_tables([pa.table(columns).cast(schema), passed])
+        return pa.table(columns).cast(schema)
 
     return fn
 
@@ -77,12 +72,12 @@ def collapse_runs(df: DataFrame, entity: Column, event_id: Column, value: Column
     events = df.select(*([] if text is None else [text.alias("text")]), entity.alias("g"), event_id.cast("int").alias("id"), value.cast("int").alias("v"), start.cast("bigint").alias("a"), (start if shown is None else shown).cast("bigint").alias("s"), end.cast("bigint").alias("t")).where("g is not null and id is not null and a is not null")
     rows = events.select(
         "g", F.floor(F.col("a") / chunk).alias("chunk"), F.coalesce("v", F.lit(_NONE)).alias("v"), "a", F.col("a").alias("b"),
-        F.col("id").alias("a_id"), F.col("id").alias("b_id"), F.lit(1).cast("bigint").alias("n"), "s", F.greatest("s", F.coalesce("t", "s")).alias("t"), F.lit(True).alias("edge"), *said,
+        F.col("id").alias("a_id"), F.col("id").alias("b_id"), F.lit(1).cast("bigint").alias("n"), "s", F.greatest("s", F.coalesce("t", "s")).alias("t"), *said,
     )
     local = map_groups(rows, ["g", "chunk"], ["a", "a_id"], _collapse(False, chunk, bool(said)), _SCHEMA + more)
-    # Finished runs ride along in their chunk, so that Python runs once; edges meet by entity.
-    to = local.withColumn("chunk", F.when(F.col("edge"), F.lit(-1)).otherwise(F.col("chunk")))
-    whole = map_groups(to, ["g", "chunk"], ["a", "a_id"], _collapse(True, chunk, bool(said)), _SCHEMA + more)
+    # Only edges are shuffled on, to meet by entity; finished runs pass them by.
+    edges = local.where("edge").withColumn("chunk", F.lit(-1).cast("bigint"))
+    whole = local.where("not edge").unionByName(map_groups(edges, ["g", "chunk"], ["a", "a_id"], _collapse(True, chunk, bool(said)), _SCHEMA + more))
     return whole.where(F.col("v") != _NONE).select("g", "v", F.col("a_id").alias("first_id"), F.col("b_id").alias("last_id"), "n", F.col("s").alias("start"), F.col("t").alias("end"), *said)
 
 
