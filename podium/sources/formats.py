@@ -185,6 +185,24 @@ def preferred_video(df: DataFrame, group: str, path: str) -> DataFrame:
     return df.withColumn("_r", rank).where("_r > 0").groupBy(group).agg(F.min_by(path, F.struct("_r", path)).alias("video"))
 
 
+def slice_samples(samples: Column, start_ms: Column, end_ms: Column, rate: int = 16_000) -> Column:
+    """The samples of an array from start to end, both cut off to whole samples; empty where the end is not after the start."""
+    a, b = (F.greatest(F.floor(t * rate / 1000), F.lit(0)).cast("int") for t in (start_ms, end_ms))
+    return F.slice(samples, a + 1, F.greatest(b - a, F.lit(0)))
+
+
+def data_root(spark: SparkSession, named: str | None, *folders: str) -> str:
+    """Where the data lie: the folder that is named, else the first that exists, else the last."""
+    if named:
+        return named
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return folder
+    return folders[-1]
+
+
 def env_lines(lines: list[str]) -> dict[str, str]:
     """k=v lines of an environment file; comments and lines without = are left out, the first of a key wins."""
     out: dict[str, str] = {}

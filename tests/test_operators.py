@@ -166,6 +166,16 @@ def test_names(spark):
     assert [r.g for r in rows] == ["adams_council", "mayor", "jane", "o'neil"]
 
 
+def test_names_in_phrases(spark):
+    from podium.plans.people import best_of, name_candidates
+
+    said = [("A", "Councilmember Jane Adams?"), ("B", "Here."), ("A", "The chair recognizes Mayor Peter Quill"), ("C", "Thank you"), ("C", "I am Clerk Ana Ruiz speaking"), ("A", "Commissioner Lee, go on"), ("D", "ok"), ("D", "Speaking as the city attorney"), ("A", "Councilmember Thank You?"), ("D", "")]
+    rows = [("m", i, i, label, text) for i, (label, text) in enumerate(said)]
+    found = name_candidates(spark.createDataFrame(rows, "meeting_id string, segment_id int, idx bigint, label string, text string"))
+    assert sorted((r.idx, r.target, r.name, r.method) for r in found.collect()) == [(0, "B", "Jane Adams", "roll_call"), (2, "C", "Peter Quill", "chair_recognition"), (4, "C", "Ana Ruiz", "self_identification"), (5, "D", "Lee", "name_addressing"), (7, "D", "Attorney", "title_context")]
+    assert {r.label: (r.name, r.confidence) for r in best_of(found).collect()} == {"B": ("Jane Adams", 0.95), "C": ("Peter Quill", 0.92), "D": ("Lee", 0.8)}
+
+
 def test_roster_tiers(spark):
     members = spark.createDataFrame([(1, 0, "President Okoro", 0, "Okoro"), (1, 0, "President Okoro", 1, "Ines Okoro"), (1, 1, "Clerk Hartmont", 0, "Hartmont"), (1, 2, "Mayor None", None, None)], "roster_id int, member_ord int, name string, alias_ord int, alias string")
     names = spark.createDataFrame([(1, n) for n in ("president okoro", "OKORO", "Ms Okoro", "Mr Hratmont", "mayor none", " Zed ")], "roster_id int, name string")

@@ -16,9 +16,9 @@ def test_vtt(spark, tmp_path):
 
 
 def test_archive_and_pages(spark):
-    html = '<a data-m4v="x/y.m4v" data-name=" A " data-hasagenda="TRUE" data-date="2024-01-02">q</a><a href="#">n</a><a data-m4v="">e</a><a class="k" data-m4v="https://h/z.m4v">r</a>'
+    html = '<a data-m4v="x/y.m4v" data-name=" A " data-hasagenda="TRUE" data-date="2024-01-02">q</a><a href="#">n</a><a data-m4v="">e</a><a class="k" data-m4v="https://h/z.m4v" data-name=\'O "B"\'>r</a>'
     rows = S.archive_listing(spark.createDataFrame([(html,)], "h string"), "h", "https://m/").orderBy("place").collect()
-    assert [(r.name, r.video_url, r.vtt_url, r.has_agenda) for r in rows] == [("A", "https://m/x/y.m4v", "https://m/x/y.vtt", True), ("", "https://h/z.m4v", "https://h/z.vtt", False)]
+    assert [(r.name, r.video_url, r.vtt_url, r.has_agenda) for r in rows] == [("A", "https://m/x/y.m4v", "https://m/x/y.vtt", True), ('O "B"', "https://h/z.m4v", "https://h/z.vtt", False)]
     df = spark.createDataFrame([("<script>{m4v: 'v.m4v'}</script>" + html,), ("none",)], "h string")
     assert [r.v for r in df.select(S.page_video(F.col("h"), "https://m").alias("v")).collect()] == ["https://m/v.m4v", None]
 
@@ -62,6 +62,13 @@ def test_store_is_swapped(spark, tmp_path):
     assert len(list((tmp_path / "store").glob("v-*"))) == 2
 
 
+def test_samples_and_roots(spark, tmp_path):
+    df = spark.createDataFrame([([float(i) for i in range(32)], 0, 1), ([1.0], 5, 2), (None, 0, 1), ([1.0, 2.0], 0, 900)], "x array<double>, a bigint, b bigint")
+    assert [r.s for r in df.select(S.slice_samples(F.col("x"), F.col("a"), F.col("b")).alias("s")).collect()] == [[float(i) for i in range(16)], [], None, [1.0, 2.0]]
+    here = str(tmp_path)
+    assert [S.data_root(spark, "/n", here), S.data_root(spark, None, "/no/such", here, "/z"), S.data_root(spark, "", "/no/such", "/none")] == ["/n", here, "/none"]
+
+
 def test_rosters(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"city": "C",\n "members": [{"name": "A", "aliases": ["x"]}, {"name": "B"}]}')
     (r,) = S.read_roster(spark, str(tmp_path / "r.json")).collect()
