@@ -24,6 +24,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,20 +42,20 @@ ENERGY, COSINE = 0.3, 0.2
 _WORD = re.compile(r"[^\W_]+")
 
 
-class _Accents(dict):
-    """A table for str.translate that drops combining marks, filled as letters come."""
+#: Whether a code point is a combining mark, which words are compared without; none stands beyond the range looked at.
+_COMBINING = np.zeros(0x110000, bool)
+_COMBINING[[c for c in range(0x1F000) if unicodedata.combining(chr(c))]] = True
 
-    def __missing__(self, code: int) -> int | None:
-        self[code] = None if unicodedata.combining(chr(code)) else code
-        return self[code]
 
-
-_ACCENTS = _Accents()
+def without_marks(text: str) -> str:
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    marked = _COMBINING[codes]
+    return codes[~marked].tobytes().decode("utf-32-le") if marked.any() else text
 
 
 def words(text: str) -> list[str]:
     if not text.isascii():
-        return _WORD.findall(unicodedata.normalize("NFKD", text).translate(_ACCENTS).casefold())
+        return _WORD.findall(without_marks(unicodedata.normalize("NFKD", text)).casefold())
     return _WORD.findall(text.lower())
 
 
@@ -111,12 +112,13 @@ def _frequencies(vocabulary: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        n, known = 0, vocabulary.keys()
         for batch in batches:
+            n += batch.num_rows
             for text in batch.column(0).to_pylist():
-                seen[-1] += 1
                 if text:
-                    seen.update({i for w in set(words(text)) if (i := vocabulary.get(w)) is not None})
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+                    seen.update(known & set(words(text)))
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *[vocabulary[w] for w in seen]], pa.int64()), pa.array([n, *seen.values()], pa.int64())], names=["word", "n"])
 
     return run
 
@@ -178,7 +180,7 @@ class _Model:
         Left out are those of which it is sure that their common subsequence with the item is
         shorter than RUN, or their common run shorter than least_run.
         """
-        ids = np.array([self.vocabulary.get(w, -1) for ws in found for w in ws], np.int64)
+        ids = np.array(list(map(self.vocabulary.get, chain.from_iterable(found), repeat(-1))), np.int64)
         if not len(ids):
             return
         w2 = np.where(ids >= 0, self.weight[ids] ** 2, self.other**2)
