@@ -79,11 +79,15 @@ _CLOSE = "”»」』）)]】》〉“›’\"'*"
 _TERMINATOR = re.compile(r"[.!?。！？｡।॥؟۔…‥։።។။]+")
 _PAIRS = re.compile("[" + re.escape("".join(_OPEN) + ")）]】」』》〉»”“›") + "]")
 _BLANK = re.compile(r"\r?\n[^\S\n]*(?=\n|\r\n)|\n\s*\n|[ \x0c]|\r(?!\n)\s*\r(?!\n)")
-_ITEM = re.compile(r"(?:(?<=\n)|(?<=\r)|\A)[^\S\n]*(?:\(?\d{1,3}[.)]|[-*•‣◦+]|[a-zA-Z][)])[^\S\n]+(?=\S)")
-_HEADING = re.compile(r"(?:(?<=\n)|\A)[^\S\n]*#{1,6}[^\S\n]+[^\r\n]*")
+#: At the beginning of a line.
+_ITEM = re.compile(r"[^\S\n]*(?:\(?\d{1,3}[.)]|[-*•‣◦+]|[a-zA-Z][)])[^\S\n]+(?=\S)")
+_HEADING = re.compile(r"[^\S\n]*#{1,6}[^\S\n]+[^\r\n]*")
 _LABEL = re.compile(r"(?:>>\s*|[-–—]\s+)?(?:[\[(<]?\d{1,3}:\d\d(?::\d\d)?(?:[.,]\d+)?[\])>]?(?:\s*-->\s*(?:\d+:\d\d(?::\d\d)?(?:[.,]\d+)?)?)?\s*)?(?:>>\s*)?(?:(?:[^\s:：.!?]+|\w{1,4}\.)(?:[^\S\n]+(?:[^\s:：.!?]+|\w{1,4}\.)){0,4}[:：](?=\s)\s*|\[[^\]\n]{1,40}\]\s+)?")
 _THAI_GAP = re.compile(r"(?<=\S)\s+(?=[฀-໿])")
 _CJK_GAP = re.compile(r"(?<=[぀-ヿ㐀-鿿])[^\S\n\r]+(?=[぀-ヿ㐀-鿿])")
+_LINE = re.compile(r"[\n\r]")
+_QUOTE = re.compile("['’]")
+_LETTERS = re.compile(r"(?:\w\.)+\w")
 _RUN = re.compile("[\u0e00-\u0e7f]+|[\u0e80-\u0eff]+")
 _SPACE = re.compile(r"\s")
 _ADDRESS = re.compile(r"[@/.\\_]")
@@ -184,7 +188,7 @@ def _abbreviation(block: str, stop: int) -> str:
     lo = stop
     while lo and (block[lo - 1].isalpha() or block[lo - 1] in ".'’-" or "ऀ" <= block[lo - 1] <= "ॿ"):
         lo -= 1
-    word = re.split("['’]", block[lo:stop].lstrip(".'’-").lower())[-1]
+    word = _QUOTE.split(block[lo:stop].lstrip(".'’-").lower())[-1]
     if len(word) <= 2 and lo >= 3 and block[lo - 1].isspace() and block[lo - 2] == ".":
         k = lo - 2
         j = k
@@ -309,7 +313,7 @@ def _ends_at_stop(block: str, at: int, end: int, mark: str) -> bool:
             return False
         if len(word) == 1:  # an initial, also in scripts without case; or the first of several
             return before.islower() and not (len(follows) == 1 and block[nxt + 1 : nxt + 2] == ".")
-        if re.fullmatch(r"(?:\w\.)+\w", word):
+        if _LETTERS.fullmatch(word):
             return follows in OPENERS
         if "ऀ" <= word[0] <= "ॿ":
             return "." not in word and sum(x.isalpha() for x in word) > 2
@@ -394,9 +398,14 @@ def _blocks(text: str) -> Iterator[tuple[int, int, bool]]:
             continue
         marks: list[tuple[int, int, bool]] = []
         part = text[lo:hi]
-        for m in _HEADING.finditer(part):
-            marks.append((m.start(), m.end(), True))
-        for m in _ITEM.finditer(part):
+        heads = "#" in part
+        past = 0
+        for at in (0, *[m.end() for m in _LINE.finditer(part)]):
+            if heads and at >= past and (not at or part[at - 1] == "\n") and (m := _HEADING.match(part, at)):
+                marks.append((m.start(), m.end(), True))
+                past = m.end()
+            if not (m := _ITEM.match(part, at)):
+                continue
             date = _WORD.match(part, m.end())
             if not (date and date.group().lower() in DATES and m.start() and m.group().rstrip().endswith(".")):  # a wrapped ordinal is none
                 marks.append((m.start(), -1, True))
