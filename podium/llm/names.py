@@ -79,6 +79,8 @@ SENT = 100_000
 #: A mistyped form that has so many times the member's share is a name of its own.
 OWN = 3
 NEVER = 1e9
+#: The least cost at which frequent strangers compete for a spelling with the member that explains it best.
+DOUBTFUL = EDIT
 
 
 def plain(s: str) -> str:
@@ -357,7 +359,7 @@ def attribute(records: DataFrame, roster: DataFrame) -> DataFrame:
     frequent = first.where((F.col("canonical") != "") & (F.col("form_n") >= FREQUENT * F.col("total"))).groupBy("roster_id", "canonical").agg(F.max("form_n").alias("form_n"), F.max("total").alias("total"), F.min("form_cost").alias("form_cost"), F.max("member_score").alias("m"), F.max("fresh_score").alias("f"))
     strangers = frequent.where((F.col("m").isNull()) | (F.col("f") > F.col("m")) | (F.col("form_cost") >= NEVER / 2))
     strangers = strangers.select("roster_id", F.col("canonical").alias("form"), F.log(F.col("form_n") / F.col("total")).alias("form_prior"), F.explode(deletions(F.split_part("canonical", F.lit("|"), F.lit(2)))).alias("key"))
-    doubtful = first.where(F.col("member_id").isNotNull() & (F.col("cost") >= EDIT)).select("roster_id", "spelling", F.explode(deletions(F.col("surname"))).alias("key"))
+    doubtful = first.where(F.col("member_id").isNotNull() & (F.col("cost") >= DOUBTFUL)).select("roster_id", "spelling", F.explode(deletions(F.col("surname"))).alias("key"))
     met = doubtful.join(strangers, ["roster_id", "key"]).select("roster_id", "spelling", "form").distinct().mapInArrow(_strangers, "roster_id int, spelling string, form string, stranger_cost double")
     priors = strangers.select("roster_id", "form", "form_prior").distinct()
     best = met.join(priors, ["roster_id", "form"]).groupBy("roster_id", "spelling").agg(F.max(F.col("form_prior") - F.col("stranger_cost")).alias("stranger_score"))

@@ -91,6 +91,17 @@ def test_few(spark, n):
     assert similar.most_similar(df, "id", F.col("v")).count() == (2 if n == 2 else 0)
 
 
+def test_profiles_against_brute_force(spark):
+    """p5_found over all profiles of a table."""
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/profiles.parquet").select("ord", similar.voice().alias("v")).where("v is not null").collect()
+    vectors = {r.ord: r.v for r in rows if len(r.v) == 64 and any(r.v)}
+    want = {(min(p), max(p)) for p in brute(vectors, 5, 0.8)}
+    got = {tuple(r) for r in similar.p5_found(spark, sf).collect()}
+    print("recall", len(got & want) / len(want), "precision", len(got & want) / len(got))
+    assert len(got & want) >= 0.99 * max(len(want), len(got))
+
+
 def test_mean_of(spark):
     df = spark.createDataFrame([([[1.0, 2.0], [3.0, 4.0], [], None],), ([],), (None,)], "v array<array<double>>")
     assert [r.m for r in df.select(mean_of(F.col("v")).alias("m")).collect()] == [[2.0, 3.0], None, None]
