@@ -7,8 +7,8 @@ its prior, its share of the body's records, plus the log likelihood of the chann
 by edit distance and sound, nicknames, initials, dropped parts, abbreviations and acronyms. The
 spelling is attached to the candidate of the greatest posterior; only members give rows.
 
-The work is on distinct spellings with counts, pre-aggregated before the shuffle. Members reach a
-spelling by a join on the body, so a body of any number of records is spread over tasks; frequent
+The work is on distinct spellings with counts, pre-aggregated before the shuffle. Up to SENT members
+are sent to the workers, more reach a spelling by a join on the body, so a body of any number of records is spread over tasks; frequent
 spellings meet the rare ones through the deletion variants of their surnames, not all pairs.
 
 Where the method is narrowed: members are told apart by the channel, and the prior only decides against
