@@ -44,7 +44,7 @@ FILES, LENGTH = 12, 24
 #: Candidates that are reranked for each vector in a file, at least; and the cosine from which on others are alike.
 RANKED, ALIKE = 64, 0.6
 #: Pivots from which on they are searched through leaders, and the leaders whose groups are searched.
-GROUPED, SEARCHED = 4096, 16
+GROUPED, SEARCHED = 4096, 32
 BLOCK = 2048
 EXACT = 16384
 _PAIR_BUDGET = 2_000_000
@@ -97,9 +97,10 @@ class _Pivots:
         if not self.groups:
             return self._first(x @ self.x.T, None, m)
         led = x @ self.leaders.T
-        some = np.argpartition(-led, SEARCHED, axis=1)[:, :SEARCHED]
-        near, names = np.full((len(x), SEARCHED, m), -2, np.float32), np.zeros((len(x), SEARCHED, m), np.int64)
-        owner, group = np.repeat(np.arange(len(x)), SEARCHED), some.ravel()
+        searched = min(SEARCHED, len(self.leaders))
+        some = np.argpartition(-led, searched - 1, axis=1)[:, :searched]
+        near, names = np.full((len(x), searched, m), -2, np.float32), np.zeros((len(x), searched, m), np.int64)
+        owner, group = np.repeat(np.arange(len(x)), searched), some.ravel()
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(len(self.groups) + 1))
         for g, members in enumerate(self.groups):
@@ -107,8 +108,8 @@ class _Pivots:
             if len(at) and len(members):
                 sims = x[owner[at]] @ self.x[members].T
                 best = np.argpartition(-sims, min(m, len(members)) - 1, axis=1)[:, :m]
-                near[owner[at], at % SEARCHED, : best.shape[1]] = np.take_along_axis(sims, best, 1)
-                names[owner[at], at % SEARCHED, : best.shape[1]] = members[best]
+                near[owner[at], at % searched, : best.shape[1]] = np.take_along_axis(sims, best, 1)
+                names[owner[at], at % searched, : best.shape[1]] = members[best]
         return self._first(near.reshape(len(x), -1), names.reshape(len(x), -1), m)
 
     @staticmethod
