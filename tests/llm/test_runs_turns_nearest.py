@@ -131,6 +131,14 @@ def test_utterances(spark):
     assert {r.t: (r.c, r.n, r.s) for r in rows} == said
 
 
+def test_said_is_what_the_cleaning_leaves(spark):
+    r = random.Random(2)
+    bits = ["[00:01:02]", "00:01:02.003 -->", "-->", ">>", "–", "SPEAKER_07:", "Speaker 7 -", "[Speaker 12]", "Spkr 3", "Ann Smith:", "Mayor:", "note:", "I move:", "uh", "er...", "hmm", "[gavel]", "(coughs)", "((bell))", "♪", "(laughs", "*", "yes", "So", "Harm", "7", "10:30", "?"]
+    texts = sorted({" ".join(r.choice(bits) for _ in range(r.randrange(1, 5))) for _ in range(5000)})
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", clean_utterance(F.col("t")).alias("c"), spoken(F.col("t")).alias("s")).collect()
+    assert [x for x in rows if x.s != any(k.isalnum() for k in x.c)] == []
+
+
 def test_turns(spark):
     rows = [
         ("m", 1, 0.0, 2.0, "SPEAKER_01", "Hello", "Ann"), ("m", 2, 2.0, None, "s1", "[gavel]", None), ("m", 3, 3.0, 2.5, None, "Speaker 1: still me", None), ("m", 4, 4.0, 5.0, "UNKNOWN", "me too", " ANN "),
